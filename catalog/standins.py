@@ -1,8 +1,8 @@
-"""Loan tapes and a price index derived from the driver tables.
+"""Loan tapes and a price index derived from the driver tables: an order is a loan, a line item one of its months.
 
 The SQL below is valid in Spark and in DuckDB and fills every field the canonical contract reads, so both engines
 start from the same tapes. Only whole numbers, strings and two-decimal amounts are cast to text, because computed
-doubles print and round differently in the two engines.
+doubles print and round differently in the two engines. Quarters are ten years on, since tape names start with ``2``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from tapelake.sources.tapes import FNM_FIELDS, FRE_FIELDS
 
 ORIG_SQL = """
 SELECT
- concat(CAST(year(o_orderdate) AS STRING), 'Q', CAST(quarter(o_orderdate) AS STRING)) AS quarter,
+ concat(CAST(year(o_orderdate) + 10 AS STRING), 'Q', CAST(quarter(o_orderdate) AS STRING)) AS quarter,
  CASE WHEN o_orderkey % 23 = 0 THEN '9999' ELSE CAST(300 + o_orderkey % 551 AS STRING) END AS column00,
  CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING) AS column01,
  CASE WHEN o_orderkey % 3 = 0 THEN 'Y' WHEN o_orderkey % 37 = 0 THEN '9' ELSE 'N' END AS column02,
@@ -50,7 +50,7 @@ FROM {orders} AS o JOIN {customer} AS c ON o_custkey = c_custkey JOIN {nation} A
 
 PERF_SQL = """
 SELECT
- concat(CAST(year(o_orderdate) AS STRING), 'Q', CAST(quarter(o_orderdate) AS STRING)) AS quarter,
+ concat(CAST(year(o_orderdate) + 10 AS STRING), 'Q', CAST(quarter(o_orderdate) AS STRING)) AS quarter,
  CAST(l_orderkey AS STRING) AS column00,
  CAST(year(l_shipdate) * 100 + month(l_shipdate) AS STRING) AS column01,
  CASE WHEN l_quantity = 1 THEN '-1' ELSE CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS STRING) END AS column02,

@@ -30,14 +30,14 @@ def _histogram(values: DataFrame, intervals: list[tuple], buckets: int) -> list:
     return counted.orderBy("column_name", "lo").collect()
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int = 4096) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int = 512) -> DataFrame:
     """``column_name, probability, value``, interpolated between neighbouring ranks; NULL for a column without values.
 
     Eager: runs one job per pass, and returns a table of ``columns x probabilities`` rows. Finite values only.
     """
     spark = df.sparkSession
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
-    values = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    doubles = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    values = doubles.unpivot([], list(columns), "column_name", "value").where(F.col("value").isNotNull())
     ranges = {
         r["column_name"]: r
         for r in values.groupBy("column_name").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()

@@ -103,9 +103,8 @@ def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, top
     smaller value, NULL last.
     """
     columns = [c for c in (columns or text_columns(df)) if c not in exclude]
-    # A struct per column keeps this one exploded projection, and NULL values.
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("val")) for c in columns])
-    counts = df.select(F.explode(pairs).alias("p")).groupBy("p.column_name", "p.val").agg(F.count("*").alias("freq"))
+    pairs = df.select(*columns).unpivot([], columns, "column_name", "val")
+    counts = pairs.groupBy("column_name", "val").agg(F.count("*").alias("freq"))
     total = df.agg(F.count("*")).scalar()
     best = Window.partitionBy("column_name").orderBy(F.desc("freq"), F.asc_nulls_last("val"))
     return (

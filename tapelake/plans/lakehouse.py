@@ -80,7 +80,7 @@ def ingest_status(orig_quarters: DataFrame, silver: DataFrame, members: DataFram
     if members is None:
         return rows
     failed = members.where(F.col("error").isNotNull())
-    source = F.coalesce("member", "inner", "archive")
+    source = F.coalesce("member", "inner", F.element_at(F.split("archive", "/"), -1))
     return rows.unionByName(
         failed.select(source.alias("source"), F.lit("failed").alias("status"), F.lit(0).cast("bigint").alias("row_count"), "error")
     )
