@@ -161,7 +161,7 @@ def manifest_orphans(spark, sf_dir):
 def ingest_status(spark, sf_dir):
     root = shared_folder(spark, "status")
     files.zip_parts(spark, _perf_files(spark, sf_dir, f"{root}/text"), f"{root}/zip")
-    files.write_bytes(f"{root}/zip/damaged.zip", b"not an archive")
+    files.write_bytes(f"{root}/zip/damaged.zip", b"this is no archive\n" * 100)
     members = archives.archive_members(spark, f"{root}/zip")
     _, perf = lakehouse.read_fre_archives(members)
     silver = lakehouse.write_fre_silver(spark, standins.orig_tape(spark, sf_dir), perf, f"{root}/silver")

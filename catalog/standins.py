@@ -168,9 +168,8 @@ def _derive(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFram
 
 def _all_fields(tape: DataFrame, fields: list[str], extra: tuple[str, ...] = ()) -> DataFrame:
     """Positional columns in order; a field the stand-in leaves out is an empty (NULL) field of the tape."""
-    return tape.select(
-        *extra, *[F.col(f) if f in tape.columns else F.lit(None).cast("string").alias(f) for f in fields]
-    )
+    present = set(tape.columns)
+    return tape.selectExpr(*extra, *[f if f in present else f"CAST(NULL AS STRING) AS {f}" for f in fields])
 
 
 def orig_tape(spark: SparkSession, sf_dir: str) -> DataFrame:

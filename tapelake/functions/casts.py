@@ -18,14 +18,13 @@ _NUMBER_IN_DISGUISE = r"(?i)([0-9.]\s+|^\s*[+-]?(inf|infinity|nan)\s*)$"
 
 
 def try_double(text: Column) -> Column:
-    """Text to double. A Java type suffix (``1d``, ``12f``) or a hexadecimal float is not a number here.
+    """Text to double. A Java type suffix (``1d``, ``12f``) is not part of a number here.
 
     A failed cast costs an exception, so text that cannot be a number (a letter code, say) is told by its last
     character before it gets that far.
     """
     ends_plain = F.right(text, F.lit(1)).between(".", "9")
-    hexadecimal = F.contains(text, F.lit("x")) | F.contains(text, F.lit("X"))
-    return F.when((ends_plain & ~hexadecimal) | text.rlike(_NUMBER_IN_DISGUISE), text.try_cast("double"))
+    return F.when(ends_plain | text.rlike(_NUMBER_IN_DISGUISE), text.try_cast("double"))
 
 
 def try_int(text: Column) -> Column:
@@ -43,9 +42,9 @@ def _starts_with_digit(text: Column) -> Column:
 def _six_digits(text: Column) -> Column:
     """Whole number in a text of six digits, else NULL.
 
-    A text of six characters that starts with a digit and reads as a whole number has nothing but digits in it.
+    A text of six bytes that starts with a digit and reads as a whole number has nothing but digits in it.
     """
-    return F.when((F.length(text) == 6) & _starts_with_digit(text), text.try_cast("int"))
+    return F.when((F.octet_length(text) == 6) & _starts_with_digit(text), text.try_cast("int"))
 
 
 def yyyymm_code(text: Column) -> Column:

@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.operators.contract import COLUMNS, DATE, FNM, FRE, check_contract
 from tapelake.operators.rules import finish
 
 
+@lru_cache(maxsize=8)
+def _columns(agency: str, application: str) -> tuple[list[Column], list[Column]]:
+    """The two selects of :func:`canonical`. Building some thousand expressions takes seconds, so it is done once."""
+    typed = [c.rule(agency)().alias(c.name) for c in COLUMNS]
+    finished = [finish(c.name, c.type == DATE, c.placeholders).alias(c.name) for c in COLUMNS]
+    return [F.lit(agency).alias("agency"), *typed], [F.col("agency"), *finished]
+
+
 def canonical(tape: DataFrame, agency: str) -> DataFrame:
     """Read one agency's positional columns into the canonical table: cast and map first, then scrub placeholders.
 
     Two selects on purpose: the scrub tests each value and returns it, and Catalyst keeps a projection whose result
     is used twice apart, so the cast itself runs once per value and the generated code stays small.
     """
-    typed = tape.select(F.lit(agency).alias("agency"), *[c.rule(agency)().alias(c.name) for c in COLUMNS])
-    return typed.select("agency", *[finish(c.name, c.type == DATE, c.placeholders).alias(c.name) for c in COLUMNS])
+    typed, finished = _columns(agency, tape.sparkSession.sparkContext.applicationId)
+    return tape.select(*typed).select(*finished)
 
 
 def unify(fnm: DataFrame, fre: DataFrame) -> DataFrame:

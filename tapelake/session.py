@@ -34,6 +34,8 @@ def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.enabled", "false")
+        # Recording the Python line of every expression costs more than planning a 50-column projection.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(threads))
     )
