@@ -39,30 +39,31 @@ def _starts_with_digit(text: Column) -> Column:
     return (text >= "0") & (text < ":")
 
 
-def _six_digits(text: Column) -> Column:
-    """Whole number in a text of six digits, else NULL.
-
-    A text of six bytes that starts with a digit and reads as a whole number has nothing but digits in it.
-    """
+def _six_bytes(text: Column) -> Column:
+    """Whole number in a text of six bytes that starts with a digit, else NULL. Blanks may follow the digits."""
     return F.when((F.octet_length(text) == 6) & _starts_with_digit(text), text.try_cast("int"))
 
 
 def yyyymm_code(text: Column) -> Column:
-    """The first six characters as a number YYYYMM, NULL if they are not all digits."""
-    return F.coalesce(_six_digits(text), _six_digits(F.left(text, F.lit(6))))
+    """The first six characters as a whole number, NULL if they are none."""
+    return F.coalesce(_six_bytes(text), _six_bytes(F.left(text, F.lit(6))))
 
 
 def mmyyyy_code(text: Column) -> Column:
     """``MMYYYY`` as the number YYYYMM: the last four characters are the year, the first two the month."""
+    ends_in_digit = F.right(text, F.lit(1)).between("0", "9")
+    number = F.when(ends_in_digit, _six_bytes(text))
     swapped = F.concat(F.right(text, F.lit(4)), F.left(text, F.lit(2)))
-    number = _six_digits(text)
-    return F.coalesce(number % 10000 * 100 + F.floor(number / 10000).cast("int"), _six_digits(swapped))
+    return F.coalesce(number % 10000 * 100 + F.floor(number / 10000).cast("int"), _six_bytes(swapped))
 
 
 def code_to_date(code: Column) -> Column:
-    """Number YYYYMM to the first day of that month; NULL for year 0 and outside the months 1-12."""
+    """Number YYYYMM to the first day of that month; NULL outside the years 1000-9999 and the months 1-12.
+
+    Six characters that make a number of six digits can only be digits, so nothing else needs checking.
+    """
     month = code % 100
-    return F.when((code >= 101) & month.between(1, 12), F.make_date(F.floor(code / 100).cast("int"), month, F.lit(1)))
+    return F.when((code >= 100000) & month.between(1, 12), F.make_date(F.floor(code / 100).cast("int"), month, F.lit(1)))
 
 
 def yyyymm_to_date(text: Column) -> Column:
