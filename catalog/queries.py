@@ -164,7 +164,8 @@ def ingest_status(spark, sf_dir):
     files.write_bytes(f"{root}/zip/damaged.zip", b"this is no archive\n" * 100)
     members = archives.archive_members(spark, f"{root}/zip")
     _, perf = lakehouse.read_fre_archives(members)
-    silver = lakehouse.write_fre_silver(spark, standins.orig_tape(spark, sf_dir), perf, f"{root}/silver")
+    quarters = lakehouse.member_quarters(members)
+    silver = lakehouse.write_fre_silver(spark, standins.orig_tape(spark, sf_dir), perf, f"{root}/silver", quarters)
     return lakehouse.ingest_status(_ship_quarters(spark, sf_dir), silver, members)
 
 

@@ -21,9 +21,14 @@ from tapelake.sources.sinks import SNAPPY, ZSTD, write_layer
 FRE_SILVER, FNM_SILVER = "freddie", "fannie"
 
 
-def fre_silver(orig: DataFrame, perf: DataFrame) -> DataFrame:
-    """Joined pairs of the quarters that have both files, tagged with their agency."""
-    return join_performance(tapes.paired(orig, perf), perf).withColumn("agency", F.lit(FRE_SILVER))
+def fre_silver(orig: DataFrame, perf: DataFrame, perf_quarters: DataFrame | None = None) -> DataFrame:
+    """Joined pairs of the quarters that have both files, tagged with their agency.
+
+    ``perf_quarters`` lists the quarters with a performance file; taken from file or member names it saves a pass over
+    the performance rows.
+    """
+    quarters = perf if perf_quarters is None else perf_quarters
+    return join_performance(tapes.paired(orig, quarters), perf).withColumn("agency", F.lit(FRE_SILVER))
 
 
 def fnm_silver(tape: DataFrame) -> DataFrame:
@@ -54,8 +59,22 @@ def read_fnm_archives(members: DataFrame, width: int = tapes.FNM_WIDTH) -> DataF
     return archives.parse_lines(lines, width)
 
 
-def write_fre_silver(spark: SparkSession, orig: DataFrame, perf: DataFrame, path: str) -> DataFrame:
-    write_layer(fre_silver(orig, perf), path, SNAPPY, ("agency", "quarter"), rebalance=True)
+def file_quarters(spark: SparkSession, folder: str) -> DataFrame:
+    """Quarters of the performance files under a folder."""
+    files = tapes.list_files(spark, f"{folder}/{tapes.PERF_FILES}")
+    return files.select(tapes.quarter_of_path(F.col("path")).alias("quarter"))
+
+
+def member_quarters(members: DataFrame) -> DataFrame:
+    """Quarters of the undamaged performance members of archives."""
+    perf = members.where(F.contains("member", F.lit("historical_data_time_")) & F.col("error").isNull())
+    return perf.select(tapes.quarter_of_path(F.col("member")).alias("quarter"))
+
+
+def write_fre_silver(
+    spark: SparkSession, orig: DataFrame, perf: DataFrame, path: str, perf_quarters: DataFrame | None = None
+) -> DataFrame:
+    write_layer(fre_silver(orig, perf, perf_quarters), path, SNAPPY, ("agency", "quarter"), rebalance=True)
     return tapes.read_layer(spark, path)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from tapelake.operators.lookup import small_side
+
 # Widths of the two tape layouts, separator, and the names of the quarterly files.
 FRE_WIDTH = 32
 FNM_WIDTH = 110
@@ -103,10 +105,6 @@ def orphan_quarters(orig_quarters: DataFrame, perf_quarters: DataFrame) -> DataF
     return orig_quarters.select("quarter").distinct().join(perf_quarters.select("quarter").distinct(), "quarter", "left_anti")
 
 
-def paired(orig: DataFrame, perf: DataFrame, perf_quarters: DataFrame | None = None) -> DataFrame:
-    """Origination rows of quarters that have a performance file.
-
-    The quarter lists are as long as the calendar, so the semi join broadcasts them.
-    """
-    quarters = (perf if perf_quarters is None else perf_quarters).select("quarter").distinct()
-    return orig.join(F.broadcast(quarters), "quarter", "left_semi")
+def paired(orig: DataFrame, perf_quarters: DataFrame) -> DataFrame:
+    """Origination rows of quarters that have a performance file."""
+    return orig.join(small_side(perf_quarters.select("quarter").distinct()), "quarter", "left_semi")

@@ -51,7 +51,8 @@ def test_quarter_from_file_name(spark, folder):
     (folder / "historical_data_2021Q2.txt").write_text(orig_line("B") + "\n")
     orig, perf = lakehouse.read_fre_files(spark, str(folder))
     assert sorted(r.quarter for r in orig.collect()) == ["2021Q1", "2021Q2"]
-    silver = lakehouse.write_fre_silver(spark, orig, perf, str(folder / "silver"))
+    quarters = lakehouse.file_quarters(spark, str(folder))
+    silver = lakehouse.write_fre_silver(spark, orig, perf, str(folder / "silver"), quarters)
     got = {r.source: (r.status, r.row_count) for r in lakehouse.ingest_status(orig, silver).collect()}
     assert got == {"2021Q1": ("loaded", 2), "2021Q2": ("no performance file", 0)}
     assert {(r.agency, r.column19, r.column01_1) for r in silver.collect()} == {("freddie", "A", "202101"), ("freddie", "A", "202102")}
