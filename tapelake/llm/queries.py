@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapelake.llm import decontaminate, packing
+from tapelake.llm import chat_format, decontaminate, near_duplicates, packing, quality_rules
 from tapelake.llm.common import table
 
 
@@ -14,6 +15,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    control = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digest(rows.unionByName(control))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), with_ids=False).drop("ids")
 
@@ -22,9 +34,16 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.find(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_shingles", F.col("first").alias("kept"))
+
+
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op5_chat_format": op5_chat_format,
     "op6_decontaminate": op6_decontaminate,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}
