@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
-import re
+import os
 import zlib
 
 import numpy as np
@@ -27,44 +27,79 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tapelake.llm.common import pieces
+from tapelake.llm.common import pieces, utf8
 
 TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 2_000_000
 STEP_TOKENS = 32_768
 END_ID = 1
-CACHED_WORDS = 400_000
-
-_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
+CACHED_WORDS = 1_000_000
 
 
 class WordIds:
     """Token ids of a text as bytes of little-endian unsigned 32-bit integers, by way of the words between spaces.
 
-    The tokenizer must not join anything across ASCII white space and must drop that space, as one that splits into words
-    does; then a text's ids are its words' ids, one after the other, and each distinct word is encoded once.
+    For tokenizers that split a text into letter runs, digits and symbol runs, drop white space, take no notice of case and
+    mark the last piece of each run: a text's ids are then its words' ids, one after the other. Each distinct word is looked
+    up once; words that differ in case or in a full stop or comma at the end share the encoding of their stem; and stems
+    of letters only are encoded many at a time and told apart by the end mark.
     """
 
+    END_MARK = "</w>"
+
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core of its own and no more
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cached = cached
-        self.known: dict[str, bytes] = {"": b""}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_SPACE.split(t) for t in texts]
-        known = self.known
-        missing = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(missing), 20_000):
-            some = missing[i : i + 20_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[word] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        if len(known) > self.cached:
-            self.known = {"": b""}
-        return out
+        self.known: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_run = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_run[[i for token, i in vocabulary.items() if token.endswith(self.END_MARK)]] = True
+        self.tails = {c: self._each([c])[0] for c in ".,"}
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _runs(self, stems: list[str]) -> list[bytes]:
+        """Of stems that are one run of letters each."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_run[ids]) + 1
+        if len(ends) != len(stems):  # a letter whose lower case is not one run
+            return self._each(stems)
+        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        parts, stems = [], self.stems
+        for word in words:
+            text = word.decode()
+            stem = text[:-1] if text[-1] in ".," and text[:-1].isalpha() else text
+            parts.append((word, stem.lower() if text.isascii() else stem, text[len(stem) :]))
+        missing = {stem for _, stem, _ in parts if stem not in stems}
+        runs = [stem for stem in missing if stem.isalpha()]
+        for i in range(0, len(runs), 2000):
+            stems.update(zip(runs[i : i + 2000], self._runs(runs[i : i + 2000]), strict=True))
+        others = [stem for stem in missing if not stem.isalpha()]
+        stems.update(zip(others, self._each(others), strict=True))
+        self.known.update([(word, stems[stem] + self.tails[tail] if tail else stems[stem]) for word, stem, tail in parts])
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        if len(self.known) > self.cached:
+            self.known = {}
+        if len(self.stems) > self.cached:
+            self.stems = {}
+        split = [(t or b"").split() for t in texts]
+        ids = [[*map(self.known.get, words)] for words in split]
+        holes = [[i for i, x in enumerate(row) if x is None] if None in row else () for row in ids]
+        self._learn({words[i] for words, at in zip(split, holes, strict=True) for i in at})
+        for words, row, at in zip(split, ids, holes, strict=True):
+            for i in at:
+                row[i] = self.known[words[i]]
+        return [b"".join(row) for row in ids]
 
 
 _ENCODERS: dict[str, WordIds] = {}
@@ -214,8 +249,7 @@ def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_T
         fresh_tokens = 0
         for batch in batches:
             for part in pieces(batch, "text", 1_000_000):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode.encode(texts), strict=True):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode.encode(utf8(part, "text")), strict=True):
                     ids += end
                     held[count["document"]] = [doc_id, ids, len(ids) // 4]
                     windows.extend(packer.add(count["document"], len(ids) // 4))
