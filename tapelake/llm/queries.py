@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import chat_format, decontaminate, near_duplicates, packing, quality_rules
+from tapelake.llm import chat_format, decontaminate, near_duplicates, packing, quality_rules, suffix_dedup
 from tapelake.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.find(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_shingles", F.col("first").alias("kept"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op5_chat_format": op5_chat_format,
     "op6_decontaminate": op6_decontaminate,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_near_duplicates": op9_near_duplicates,
 }
 
