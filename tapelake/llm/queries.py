@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import chat_format, decontaminate, near_duplicates, packing, quality_rules, suffix_dedup
+from tapelake.llm import chat_format, decontaminate, html_extract, near_duplicates, packing, quality_gam, quality_rules, suffix_dedup, token_counts
 from tapelake.llm.common import table
 
 
@@ -15,6 +15,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("cleaned")
 
@@ -38,17 +42,28 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.find(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.find(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_shingles", F.col("first").alias("kept"))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_quality_gam": op1_quality_gam,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op5_chat_format": op5_chat_format,
     "op6_decontaminate": op6_decontaminate,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLE_SQL: dict[str, str] = {}
