@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import chat_format, decontaminate, html_extract, near_duplicates, packing, quality_gam, quality_rules, suffix_dedup, token_counts
+from tapelake.llm import chat_format, decontaminate, html_extract, near_duplicates, packing, personal_data, quality_gam, quality_rules, suffix_dedup, token_counts
 from tapelake.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     control = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
@@ -58,6 +62,7 @@ QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op4_personal_data": op4_personal_data,
     "op5_chat_format": op5_chat_format,
     "op6_decontaminate": op6_decontaminate,
     "op7_suffix_dedup": op7_suffix_dedup,

@@ -29,7 +29,7 @@ UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 400_000
 
 # Unicode white space; Python's own notion has the four ASCII separators too.
-_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
