@@ -4,21 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapelake.llm import decontaminate, packing
+from tapelake.llm import decontaminate, near_duplicates, packing, personal_data, quality_rules
 from tapelake.llm.common import table, written
 from tapelake.llm.queries import tokenizer
 
 
+def cleaned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line rules keep, without the lines that fail them."""
+    return quality_rules.clean(docs)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies."""
+    return near_duplicates.keep_first(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of benchmark items."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return personal_data.redact(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their sequences."""
     return packing.pack(docs, tokenizer("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 
 STAGES = [
+    ("quality rules", cleaned),
+    ("near duplicates", deduplicated),
     ("decontamination", decontaminated),
+    ("personal data", redacted),
     ("packing", packed),
 ]
 
@@ -29,8 +49,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written to the shared folder and read by the next."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, f"stage-{name}")
+            docs = written(docs, "stage")
     return docs

@@ -35,7 +35,7 @@ SPACES = " \t\n\x0b\x0c\r"
 _SPACE = r"[\x20\x09-\x0D]+"
 _SYMBOLS = r"[#*$%&|<>]"
 _SENTENCE_END = r"[.!?:;…。！？][\"'”’»)\]]*$"
-_SEPARATORS = r"[|»›•·>]"
+SEPARATORS = ["|", "»", "›", "•", "·", ">"]
 # License and copyright lines stay: they say how a text may be used.
 _STOCK = (
     r"(?i)\b(cookies?|privacy policy|terms of (use|service)|subscribe|newsletter|sign (up|in)|log ?in|click here|read more"
@@ -56,17 +56,20 @@ def _count(text: Column, pattern: str) -> Column:
 def line_fails(line: Column) -> Column:
     """Whether a line is removed. A line without words never is: it holds nothing."""
     trimmed = F.btrim(line, F.lit(SPACES))
-    n = F.length(trimmed)
-    n_words = F.size(F.split(trimmed, _SPACE))
-    shouts = F.size(F.split(trimmed, r"!![\x20\x09-\x0D]|!!$")) - 1
-    menu = F.size(F.split(trimmed, rf"(?:^|[\x20\x09-\x0D]){_SEPARATORS}(?=[\x20\x09-\x0D]|$)")) - 1
-    return (n > 0) & (
-        (_count(trimmed, _SYMBOLS) > n * MAX_SYMBOLS)
-        | ((shouts >= 2) & (shouts > n_words * MAX_SHOUTS))
-        | ((menu >= 2) & (menu > n_words * MAX_SEPARATORS))
-        | ((n_words < MIN_OPEN_WORDS) & ~trimmed.rlike(_SENTENCE_END))
-        | ((n_words <= MAX_STOCK_WORDS) & trimmed.rlike(_STOCK))
-    )
+
+    def fails(line_words: Column) -> Column:
+        n, n_words = F.length(trimmed), F.size(line_words)
+        shouts = F.size(F.filter(line_words, lambda w: w.endswith("!!")))
+        menu = F.size(F.filter(line_words, lambda w: w.isin(*SEPARATORS)))
+        return (
+            (_count(trimmed, _SYMBOLS) > n * MAX_SYMBOLS)
+            | ((shouts >= 2) & (shouts > n_words * MAX_SHOUTS))
+            | ((menu >= 2) & (menu > n_words * MAX_SEPARATORS))
+            | ((n_words < MIN_OPEN_WORDS) & ~trimmed.rlike(_SENTENCE_END))
+            | ((n_words <= MAX_STOCK_WORDS) & trimmed.rlike(_STOCK))
+        )
+
+    return (F.length(trimmed) > 0) & _let(F.split(trimmed, _SPACE), fails)
 
 
 def _repeated_words(all_words: Column, keys: Column) -> Column:
@@ -124,8 +127,10 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with the cleaned text; n_chars, where there is one, follows it."""
-    names = {n: fresh(n) for n in _NAMES}
-    out = _measured(docs, names).filter(F.col(names["kept"])).withColumn("text", F.col(names["cleaned"]))
+    names, row = {n: fresh(n) for n in _NAMES}, fresh("row")
+    # Spark pushes no filter below a row number; pushed, this one would work out every statistic once more for each use.
+    measured = _measured(docs, names).withColumn(row, F.monotonically_increasing_id())
+    out = measured.filter(F.col(names["kept"]) & (F.col(row) >= 0)).withColumn("text", F.col(names["cleaned"]))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
