@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage, and the SQL of those that SQL can express."""
+"""The registered queries of this subpackage; the SQL of those that SQL can express is in ``oracles``."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapelake.llm import chat_format, decontaminate, html_extract, near_duplicates, packing, personal_data, quality_gam, quality_rules, suffix_dedup, token_counts
 from tapelake.llm.common import table
+from tapelake.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def tokenizer(name: str) -> str:
@@ -70,5 +71,3 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_html_extract": op10_html_extract,
 }
-
-ORACLE_SQL: dict[str, str] = {}
