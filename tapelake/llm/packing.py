@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import bisect
 import heapq
+import operator
 import os
 import zlib
 
@@ -33,7 +34,7 @@ TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 2_000_000
 STEP_TOKENS = 32_768
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_500_000
 
 
 class WordIds:
@@ -74,18 +75,19 @@ class WordIds:
         return [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def _learn(self, words: set[bytes]) -> None:
-        parts, stems = [], self.stems
-        for word in words:
+        stems, names, order, tails = self.stems, [], list(words), []
+        for word in order:
             text = word.decode()
             stem = text[:-1] if text[-1] in ".," and text[:-1].isalpha() else text
-            parts.append((word, stem.lower() if text.isascii() else stem, text[len(stem) :]))
-        missing = {stem for _, stem, _ in parts if stem not in stems}
+            names.append(stem.lower() if text.isascii() else stem)
+            tails.append(self.tails[text[-1]] if len(stem) < len(text) else b"")
+        missing = {stem for stem in names if stem not in stems}
         runs = [stem for stem in missing if stem.isalpha()]
         for i in range(0, len(runs), 2000):
             stems.update(zip(runs[i : i + 2000], self._runs(runs[i : i + 2000]), strict=True))
         others = [stem for stem in missing if not stem.isalpha()]
         stems.update(zip(others, self._each(others), strict=True))
-        self.known.update([(word, stems[stem] + self.tails[tail] if tail else stems[stem]) for word, stem, tail in parts])
+        self.known.update(zip(order, map(operator.add, map(stems.__getitem__, names), tails), strict=True))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if len(self.known) > self.cached:
