@@ -148,7 +148,7 @@ def edges(found: DataFrame) -> DataFrame:
 
 
 def scored(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The instances that trusted patterns discover."""
+    """The seeds, which may stand elsewhere too, and the instances that trusted patterns discover."""
     graph = written(graph, "pattern-graph")
     instances = graph.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
     for k in range(rounds):
@@ -158,7 +158,7 @@ def scored(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         instances = graph.join(patterns, "pattern").groupBy("instance").agg(F.max("seed").alias("seed"), F.avg("trust").alias("mean"), support)
         instances = instances.select("instance", F.when(F.col("seed") == 1, 1.0).otherwise(F.col("mean")).alias("score"), "seed", "supported")
         instances = written(instances, "instance-scores") if k == rounds - 1 else instances.checkpoint()
-    return instances.filter((F.col("seed") == 0) & (F.col("score") >= THRESHOLD) & F.col("supported")).select("instance")
+    return instances.filter((F.col("seed") == 1) | (F.col("score") >= THRESHOLD) & F.col("supported")).select("instance")
 
 
 def find(docs: DataFrame) -> DataFrame:
