@@ -3,8 +3,10 @@
 Each block element is a node with features of its tag, its class and id words, its depth and place among its siblings, and of
 the text below it: amount, density, links, sentence ends, forms. Boosted trees score how likely the node belongs to the
 article. They learn from a bounded sample of the pages themselves: where a page says what is what (article, main, nav, footer,
-aside, form, telling class words), its nodes are labelled by that, and seen a second and third time with the telling features
-blanked, so that the trees also learn from the shape of the text alone.
+aside, form, telling class words), its nodes are labelled by that. The blocks of each such page are also set anew in pages of
+random layout, whose parts are known: other wrappers, class words or none, with menus, notices, adverts, forms, sidebars and
+comments around and inside the article. So the trees learn what tags and words mean and what the shape of the text shows
+without them.
 
 Decoding keeps the choices of ancestors and descendants consistent. On every path from the root the nodes are first outside the
 article, then inside, then in something cut out of it (either part may be missing); dynamic programming over the tree finds the
@@ -21,6 +23,7 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import html
 import re
 
 import numpy as np
@@ -32,8 +35,9 @@ from tapelake.llm.boosting import Boosted, fit_boosted
 from tapelake.llm.common import map_batches
 from tapelake.llm.dom import Page, read
 
-SAMPLE_PAGES = 1000
-SAMPLE_NODES = 60_000
+SAMPLE_PAGES = 400
+SAMPLE_NODES = 100_000
+RESET = 3
 SWITCH_COST = 2.0
 MOST_LOGIT = 4.0
 
@@ -121,13 +125,74 @@ def labels(page: Page) -> np.ndarray:
     return out
 
 
-def blanked(x: np.ndarray, y: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """The rows as they are, without telling features, and with a random half of them gone."""
-    random = np.random.default_rng(seed)
-    none, half = x.copy(), x.copy()
-    none[:, :_N_TELLING] = 0
-    half[:, :_N_TELLING] *= random.random((len(x), _N_TELLING)) < 0.5
-    return np.concatenate((x, none, half)), np.concatenate((y, y, y))
+_NEUTRAL = ["", "", "wrap", "container", "row", "col", "box", "home page", "inner", "block", "x1"]
+# Words of class that mark a part of a page set anew; no feature reads them.
+_IN, _OUT = "zzin", "zzout"
+
+
+def reset(page: Page, random: np.random.Generator) -> str | None:
+    """A page of random layout made of the blocks of a labelled one; None where it has no article text."""
+    known = labels(page)
+    inside = [t for t, o in zip(page.texts, page.owners, strict=True) if known[o] == 1]
+    if not inside:
+        return None
+    other = [t for t, o in zip(page.texts, page.owners, strict=True) if known[o] == 0] or inside
+    pick = lambda options: options[random.integers(len(options))]
+    e = html.escape
+
+    def element(tags: list[str], content: str, label: str, kinds=(), sure: bool = False) -> str:
+        tag, word = pick(tags), pick(_NEUTRAL)
+        if kinds and (sure or random.random() < 0.75):
+            word = f"{pick(['', 'main ', 'top ', 'x '] if not kinds == ['article'] else ['', 'x '])}{pick(WORDS[pick(kinds)].split())}"
+        return f'<{tag} class="{word} {label}">{content}</{tag}>'
+
+    def menu() -> str:
+        items = "".join(f'<li><a href="/">{e(pick(other + inside)[: random.integers(4, 40)])}</a></li>' for _ in range(random.integers(2, 9)))
+        return element(["nav", "div", "div", "section"], f"<ul>{items}</ul>", _OUT, ["menu", "edge"])
+
+    def prose(n: int) -> str:
+        return "".join(f"<p>{e(pick(inside))}</p>" if random.random() < 0.7 else f"<div>{e(pick(inside))}</div>" for _ in range(n))
+
+    def aside(kinds: list[str], tags: list[str]) -> str:
+        text = e(pick(other + inside)[: random.integers(10, 200)])
+        body = text if random.random() < 0.4 else prose(random.integers(1, 4))
+        body += pick(["", "", '<button>OK</button>', '<input name="q">', '<a href="/">more</a>'])
+        return element(tags, body, _OUT, kinds, sure=True)
+
+    def boilerplate() -> str:
+        return pick(
+            [
+                menu,
+                lambda: aside(["notice"], ["div", "section", "p"]),
+                lambda: aside(["advert"], ["div", "section", "aside", "p"]),
+                lambda: aside(["side", "form"], ["div", "aside", "section"]),
+                lambda: aside(["comment"], ["div", "section", "ul"]),
+                lambda: element(["form"], f'<input name="q"> {e(pick(other)[:30])}', _OUT, ["form"]),
+            ]
+        )()
+
+    parts = [f"<{t}>{e(x)}</{t}>" for k, x in enumerate(inside) for t in [pick(["h1", "h2", "p"]) if k == 0 else pick(["p"] * 8 + ["h2", "li", "blockquote", "div"])]]
+    for _ in range(random.integers(0, 3)):
+        parts.insert(random.integers(len(parts) + 1), boilerplate())
+    article = element(["article", "main", "div", "div", "section"], "".join(parts), _IN, ["article"])
+    around = [article]
+    for _ in range(random.integers(0, 4)):
+        around.insert(random.integers(len(around) + 1), boilerplate())
+    body = "".join(around)
+    for _ in range(random.integers(0, 3)):
+        body = f'<div class="{pick(_NEUTRAL)}">{body}</div>'
+    top = element(["header", "div"], e(pick(other)[:60]) + pick(["", menu()]), _OUT, ["edge"]) if random.random() < 0.6 else menu()
+    foot = element(["footer", "div"], f"&copy; {e(pick(other)[:80])}", _OUT, ["edge"])
+    return f'<body class="{pick(_NEUTRAL)}">{top}{pick(["", boilerplate()])}{body}{pick(["", boilerplate()])}{foot}</body>'
+
+
+def reset_labels(page: Page) -> np.ndarray:
+    """The labels of a page set anew: those of the innermost marked part."""
+    out = np.full(len(page.nodes), -1)
+    for i, node in enumerate(page.nodes):
+        words = node.attributes.split()
+        out[i] = 1 if _IN in words else 0 if _OUT in words else out[node.parent] if i else -1
+    return out
 
 
 def decode(page: Page, logit: np.ndarray) -> list[str]:
@@ -158,10 +223,12 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_nodes: int =
         x, y = [], []
         for source in batch.column("html").to_pylist():
             page = read(source)
-            label = labels(page)
-            known = label >= 0
-            x.append(features(page)[known])
-            y.append(label[known])
+            random = np.random.default_rng(len(source or ""))
+            again = [p for p in (reset(page, random) for _ in range(RESET)) if p]
+            for one, label in [(page, labels(page)), *((p, reset_labels(p)) for p in map(read, again))]:
+                known = label >= 0
+                x.append(features(one)[known])
+                y.append(label[known])
         return {"x": list(np.concatenate(x)), "y": np.concatenate(y)}
 
     rows = map_batches(some, measure, "x array<double>, y int", text="html").limit(sample_nodes).toPandas()
@@ -169,7 +236,7 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_nodes: int =
     x = np.stack(rows["x"].to_numpy()) if len(rows) else np.zeros((0, width))
     y = rows["y"].to_numpy(float) if len(rows) else np.zeros(0)
     order = np.lexsort((*x.T[::-1], y))  # the same model whatever order the rows come in
-    return fit_boosted(*blanked(x[order], y[order]))
+    return fit_boosted(x[order], y[order], trees=80)
 
 
 _SHAPE = [

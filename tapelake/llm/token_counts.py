@@ -30,6 +30,7 @@ CACHED_WORDS = 400_000
 
 # Unicode white space; Python's own notion has the four ASCII separators too.
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_MARKED = re.compile(f"{MARK}[^{MARK}]*")  # a mark inside a word starts a new one
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -91,7 +92,8 @@ class Counter:
         known = self.known
         for w in words:
             if w not in known:
-                known[w] = self.word(w if w.startswith(MARK) else MARK + w)
+                parts = [self.word(part) for part in _MARKED.findall(w if w.startswith(MARK) else MARK + w)]
+                known[w] = sum(n for n, _ in parts), sum(s for _, s in parts)
         out = sum(known[w][0] for w in words), sum(known[w][1] for w in words)
         if len(known) > self.cached:
             known.clear()
