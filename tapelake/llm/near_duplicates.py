@@ -8,13 +8,15 @@ probability sum(min) / sum(max). Few points are drawn: those after a time by whi
 not, and a text whose components are not yet filled then is gone on with for twice as long.
 
 Duplicates. Texts with equal multisets are one node from the start. Nodes that agree in all components of a band are
-candidates. In each bucket one node, the one that meets the most others over all its bands, is held against all that are
-not in its class yet; links are verified by exact multiset overlap and joined to classes. In buckets that still hold several
-classes, the pairs of different classes are verified too, in a small bucket all of them, in a large one those that have
-one of their rarest shingles in common, as two similar texts must. Members of one class are never paired again, so a
-large group of copies costs as many comparisons as it has members.
+candidates. In each bucket the node that meets the most others over all its bands is the centre and is held against all the
+others; links are verified by exact multiset overlap and joined to classes. Members of one class are never paired again,
+so a large group of copies costs as many comparisons as it has members. In buckets that then still hold several classes
+the pairs of different classes are compared inside a task, in blocks of bounded size: each pair in the first band that it
+shares, by weights, by signature, and by 32-bit hashes of all its shingles. Only pairs that those do not rule out come out,
+at most one for two classes of a block, and are verified like the others.
 
-With 24 bands of 4 a pair at the threshold of 0.8 is missed with probability (1 - 0.8^4)^24 = 3e-6.
+With 24 bands of 4 a pair at the threshold of 0.8 is missed with probability (1 - 0.8^4)^24 = 3e-6, and its signature, of 96
+components, agrees in fewer than 62 with probability 5e-5.
 
 Defined results: words are runs of ASCII letters (lower-cased), digits and characters beyond ASCII. A text of fewer words
 than five is one shingle. Texts without words (null, empty, symbols only) are each in a class of their own. A class is
@@ -26,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.classes import joined_classes
@@ -36,7 +38,9 @@ from tapelake.llm.hashing import buffer, mix, shingle_hashes, word_hashes
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-SMALL_BUCKET = 50
+#: Components of two signatures that agree at least if the texts are similar; nodes of a bucket that meet at once.
+LEAST_EQUAL = 62
+BLOCK = 2000
 
 _UNIT = 2.0**-53
 
@@ -127,6 +131,7 @@ def _row_signatures(batch: pa.RecordBatch) -> dict:
         "text_hash": batch.column("text_hash"),
         "n_shingles": counts,
         "node": [keys[i].tobytes() if has[i] else None for i in range(rows)],
+        "sketch": [signature[i].astype(np.uint8).tobytes() if has[i] else None for i in range(rows)],
         "bands": [bands[i].view(np.int64) if has[i] else None for i in range(rows)],
     }
 
@@ -162,12 +167,6 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(both, check, "a binary, b binary", text="text_a", most_bytes=500_000)
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """Pairs of nodes of different classes that share a bucket."""
-    a, b = (members.select("bucket", F.col("node").alias(x), F.col("cls").alias(f"cls_{x}")) for x in "ab")
-    return a.join(b, "bucket").filter(F.col("cls_a") < F.col("cls_b")).select("a", "b").distinct()
-
-
 def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members, with their class, of the buckets that hold more than one class."""
     now = members.join(classes, "node")
@@ -175,52 +174,106 @@ def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
     return now.join(open_, "bucket")
 
 
-def _rare_buckets(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Buckets that two similar texts are sure to share, for the nodes of large buckets: their rarest shingles.
+_GROUP = ["bucket", "block_i", "block_j"]
 
-    Of a text's W shingles (the second of a kind counts as another one) the W - ceil(0.8 W) + 1 rarest; two texts with an
-    overlap of 0.8 have one of them in common. A passage that very many texts hold is not rare, so it joins none of them.
-    """
-    nodes = members.select("node").distinct()
 
-    def explode(batch: pa.RecordBatch) -> dict:
+def _short_hashes(texts: DataFrame) -> DataFrame:
+    """node and shingles: 32-bit hashes, where the second shingle of a kind counts as another one. None can hide an overlap."""
+
+    def run(batch: pa.RecordBatch) -> dict:
         data, offsets = buffer(batch.column("text"))
         words, n = word_hashes(data, offsets)
         row, shingle, count = multisets(*shingle_hashes(words, n, SHINGLE))
         again = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        tokens = mix(np.repeat(shingle, count) + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        row = np.repeat(row, count)
-        weight = np.bincount(row, minlength=len(n))
-        return {"node": batch.column("node").take(pa.array(row)), "bucket": tokens.view(np.int64), "weight": weight[row]}
+        short = (mix(np.repeat(shingle, count) + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+        ends = np.searchsorted(np.repeat(row, count), np.arange(len(n) + 1))
+        return {"node": batch.column("node"), "shingles": [short[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]}
 
-    tokens = map_batches(texts.join(nodes, "node", "left_semi"), explode, "node binary, bucket long, weight long")
-    seen = tokens.groupBy("bucket").agg(F.count("*").alias("n"))
-    ranked = tokens.join(seen, "bucket").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("n", "bucket")))
-    prefix = F.col("weight") - F.ceil(F.col("weight") * THRESHOLD) + 1
-    rare = ranked.filter((F.col("rank") <= prefix) & (F.col("n") > 1)).select("node", "bucket")
-    return rare.join(members.select("node", "cls").distinct(), "node")
+    return map_batches(texts, run, "node binary, shingles binary")
+
+
+def _plausible(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes in one bucket that may be similar, enough to join the classes that are.
+
+    A large bucket is dealt into blocks; each two of them meet in a group of their own.
+    """
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    rows = members.join(nodes, "node").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.withColumns({"block_i": F.least("block", "other"), "block_j": F.greatest("block", "other")})
+    dealt = rows.select(*_GROUP, "block", "band", "node", "cls", "weight", "bands", "sketch", "shingles").repartition(n, *_GROUP).sortWithinPartitions(*_GROUP)
+
+    def compare(batches):
+        group: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if group and any(row[k] != group[0][k] for k in _GROUP):
+                    yield from out(group)
+                    group = []
+                group.append(row)
+        if group:
+            yield from out(group)
+
+    def out(group: list[dict]):
+        if len({r["cls"] for r in group}) < 2:
+            return
+        sketch = np.frombuffer(b"".join(r["sketch"] for r in group), np.uint8).reshape(len(group), -1)
+        bands = np.array([r["bands"] for r in group])
+        weight, block = np.array([r["weight"] for r in group]), np.array([r["block"] for r in group])
+        names = {c: k for k, c in enumerate({r["cls"] for r in group})}
+        cls = np.array([names[r["cls"]] for r in group])
+        band, across = group[0]["band"], group[0]["block_i"] != group[0]["block_j"]
+        left, right = [], []
+        for i in range(len(group) - 1):
+            rest = slice(i + 1, None)
+            low, high = np.minimum(weight[i], weight[rest]), np.maximum(weight[i], weight[rest])
+            fits = (cls[rest] != cls[i]) & (low >= THRESHOLD * high)
+            if across:
+                fits &= block[rest] != block[i]
+            at = np.flatnonzero(fits) + i + 1
+            at = at[(sketch[at] == sketch[i]).sum(1) >= LEAST_EQUAL]
+            at = at[~(bands[at, :band] == bands[i, :band]).any(1)]
+            if not len(at):
+                continue
+            own = np.frombuffer(group[i]["shingles"], np.uint32)
+            theirs = [np.frombuffer(group[k]["shingles"], np.uint32) for k in at]
+            ends = np.cumsum([0, *map(len, theirs)])
+            met = np.concatenate(([0], np.cumsum(np.isin(np.concatenate(theirs), own))))
+            overlap_ = met[ends[1:]] - met[ends[:-1]]
+            for k in at[overlap_ >= THRESHOLD * (weight[at] + weight[i] - overlap_)]:
+                if cls[k] != cls[i]:
+                    cls[cls == cls[k]] = cls[i]
+                    left.append(group[i]["node"])
+                    right.append(group[k]["node"])
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+
+    return dealt.mapInArrow(compare, "a binary, b binary")
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, class_id, n_shingles, first (whether the row has its class's smallest doc_id)."""
-    rows = written(map_batches(_keyed(docs), _row_signatures, "doc_id long, text_hash long, n_shingles long, node binary, bands array<long>"), "signatures")
-    nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row"), F.min("bands").alias("bands"))
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    rows = written(map_batches(_keyed(docs), _row_signatures, "doc_id long, text_hash long, n_shingles long, node binary, bands array<long>, sketch binary"), "signatures")
+    smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row")
+    nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(smallest, F.min("bands").alias("bands"), F.min("sketch").alias("sketch"), F.min("n_shingles").alias("weight"))
+    buckets = nodes.select("node", "weight", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = written(buckets.join(shared, "bucket"), "members")
-    found = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("row.doc_id").alias("doc_id"), F.col("row.text_hash").alias("text_hash"))
-    keyed, found = _keyed(docs), found.withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
+    found = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("row.doc_id").alias("d"), F.col("row.text_hash").alias("h"))
+    keyed = _keyed(docs)
     texts = written(keyed.join(found.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(F.col("d")) & (keyed["text_hash"] == F.col("h"))).select("node", "text").dropDuplicates(["node"]), "texts")
 
     classes = texts.select("node", F.col("node").alias("cls"))
     met = members.groupBy("node").agg(F.sum("size").alias("met"))
-    centres = members.join(met, "node").groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("b"))
-    stars = members.join(centres, "bucket").select(F.col("node").alias("a"), "b").filter("a != b").distinct()
+    left = members.join(met, "node")
+    centres = left.groupBy("bucket").agg(F.max_by("node", F.struct("met", "node")).alias("b"))
+    stars = left.join(centres, "bucket").select(F.col("node").alias("a"), "b").filter("a != b").distinct()
     classes = joined_classes(classes, written(_verified(stars, texts), "verified"))
     left = written(_unsettled(members, classes), "unsettled")
-    small = _pairs(left.filter(F.col("size") <= SMALL_BUCKET))
-    large = _pairs(_rare_buckets(left.filter(F.col("size") > SMALL_BUCKET), texts))
-    classes = joined_classes(classes, written(_verified(small.union(large).distinct(), texts), "verified"))
+    hashes = _short_hashes(texts.join(left.select("node").distinct(), "node", "left_semi"))
+    pairs = _plausible(left, nodes.select("node", "bands", "sketch").join(hashes, "node"))
+    classes = joined_classes(classes, written(_verified(pairs, texts), "verified"))
 
     named = rows.join(classes, "node", "left").withColumn("cls", F.coalesce("cls", "node"))
     ids = named.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("class_id"))
