@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from catalog import standins
+from tapelake.sources.tapes import FNM_FIELDS, FRE_FIELDS
 
 _TABLES = {name: name for name in ("orders", "customer", "nation", "lineitem")}
 
@@ -84,7 +85,7 @@ SELECT 'FNM' AS agency, column001 AS loan_id, {_my('column002')} AS report_perio
  {_not(_num('column033'), '999')} AS mi_percent, column034 AS amort_type, column035 AS ppm_flag,
  column036 AS io_indicator, {_not('column078', "'9'", "'7'")} AS special_elig_prog,
  {_not('column085', "'7'")} AS valuation_method, column086 AS super_conf_flag,
- {_not(_num("CASE WHEN column008 <> '1d' THEN column008 END"), '0', '999')} AS current_rate,
+ {_not(_num('column008'), '0', '999')} AS current_rate,
  {_not(_num('column011'), '-1')} AS current_upb, {_not(_int('column015'), '999')} AS loan_age,
  {_not(_int('column017'), '999')} AS months_to_mat, {_not('column039', "'XX'")} AS delinq_status,
  column041 AS mod_flag, {_not("CASE WHEN column042 = 'M' THEN 'N' ELSE column042 END", "'9'")} AS mi_cancel_flag,
@@ -225,17 +226,41 @@ def _metrics(source: str, columns: list[str]) -> str:
     )
 
 
-_QUANTILE_COLUMNS = ["orig_upb", "current_upb", "orig_ltv", "credit_score", "loan_age", "eltv", "mtm_cltv"]
+def _fields(table: str, names: list[str], suffix: str = "") -> str:
+    """All fields of a layout as columns; those that the stand-in leaves out are NULL."""
+    there = set(re.findall(r"AS (column\d+)", _CTES[table]))
+    return ", ".join(n + suffix if n in there else f"CAST(NULL AS VARCHAR) AS {n}{suffix}" for n in names)
+
+
+def _within(columns: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{q}' AS quartile, true AS within" for c in columns for q in ("q1", "median", "q3"))
+
+
 _SHIP_QUARTER = """concat(CAST(CAST(left(column01, 4) AS INTEGER) + 10 AS VARCHAR), 'Q',
  CAST(CAST(ceil(CAST(right(column01, 2) AS INTEGER) / 3) AS INTEGER) AS VARCHAR))"""
 
 _ORACLES = {
-    "src_pipe_text": """
-SELECT column001, column002, column004, column009, column012, column023, column085, column109 FROM fnm_tape""",
+    "src_pipe_text": f"SELECT {_fields('fnm_tape', FNM_FIELDS)} FROM fnm_tape",
     "src_typed_csv": "SELECT * FROM raw_index",
     "src_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "src_parquet_glob": "SELECT quarter, column00, column01, column02 FROM perf_tape",
-    "src_zip_members": "SELECT quarter, column00, column01, column02, column03, column25, column31 FROM perf_tape",
+    "src_zip_members": f"""
+SELECT 'origination' AS kind, quarter, {_fields("orig_tape", FRE_FIELDS)} FROM orig_tape
+UNION ALL SELECT 'performance', quarter, {_fields("perf_tape", FRE_FIELDS)} FROM perf_tape""",
+    "src_zip_single_file": f"SELECT {_fields('fnm_tape', FNM_FIELDS)} FROM fnm_tape",
+    "ingest_second_archive": f"""
+SELECT 'fannie' AS agency, if(CAST(column001 AS BIGINT) % 2 = 0, 'first.zip', 'second.zip') AS archive, {_fields("fnm_tape", FNM_FIELDS)} FROM fnm_tape""",
+    "ingest_duplicate_vintage": """
+SELECT 'loaded' AS status, count(DISTINCT quarter) AS sources, count(*) AS row_count FROM fre_silver
+UNION ALL SELECT 'superseded', (SELECT count(DISTINCT quarter) FROM orig_tape) + (SELECT count(DISTINCT quarter) FROM perf_tape), 0""",
+    "dataset_footprint": f"""
+SELECT sum(octet_length(CAST(concat_ws('|', {", ".join(f"coalesce({c}, '')" for c in re.findall(r"column[0-9]+", _fields("perf_tape", FRE_FIELDS)))}) AS BLOB)) + 1)::BIGINT AS bytes
+FROM (SELECT {_fields("perf_tape", FRE_FIELDS)} FROM perf_tape)""",
+    "profile_report": """
+SELECT 'rows ' || agency AS figure, CAST(count(*) AS DOUBLE) AS value FROM final GROUP BY agency
+UNION ALL SELECT 'negative age pct', round(100.0 * count(*) FILTER (loan_age < 0) / count(*), 4) FROM final""",
+    "profile_quantiles_approx": _within(_FINAL_NUMBERS),
+    "profile_quantiles_percentile": _within(_FINAL_NUMBERS),
     "src_quarter_from_path": "SELECT quarter, count(*) AS row_count, count(column25) AS valuations FROM perf_tape GROUP BY quarter",
     "manifest_orphans": f"""
 SELECT DISTINCT {_SHIP_QUARTER} AS quarter FROM perf_tape EXCEPT SELECT DISTINCT quarter FROM perf_tape""",
@@ -244,12 +269,15 @@ SELECT q.quarter AS source, if(n.row_count IS NULL, 'no performance file', 'load
  coalesce(n.row_count, 0) AS row_count, CAST(NULL AS VARCHAR) AS error
 FROM (SELECT DISTINCT {_SHIP_QUARTER} AS quarter FROM perf_tape) AS q
 LEFT JOIN (SELECT quarter, count(*) AS row_count FROM fre_silver GROUP BY quarter) AS n ON q.quarter = n.quarter
-UNION ALL SELECT 'damaged.zip', 'failed', 0, 'BadZipFile: File is not a zip file'""",
+UNION ALL SELECT 'damaged.zip', 'failed', 0, 'BadZipFile'
+UNION ALL SELECT 'historical_data_time_2099Q1.txt', 'failed', 0, 'ArrowInvalid'
+UNION ALL SELECT 'latin.zip', 'failed', 0, 'ArrowInvalid'
+UNION ALL SELECT 'whole.zip', 'loaded', (SELECT count(*) FROM fnm_tape), NULL""",
     "describe_schema": _union(
         f"SELECT {i} AS ordinal, '{c}' AS column_name, '{_type_name(c)}' AS column_type, count({c}) AS \"values\" FROM final"
         for i, c in enumerate(_FINAL, 1)
     ),
-    "sink_roundtrip_snappy": "SELECT agency, quarter, column00, column19, column00_1, column01_1, column02_1 FROM fre_silver",
+    "sink_roundtrip_snappy": "SELECT * FROM fre_silver",
     "sink_roundtrip_zstd": "SELECT * FROM fnm_gold",
     "sink_overwrite_partition": """
 SELECT column19, if(quarter = '2005Q1', 'reload', 'first load') AS load, quarter FROM orig_tape""",
@@ -292,8 +320,8 @@ SELECT GEO_Type, msa_code AS geography, hpi_date, 2 AS copies FROM price_index W
     "verify_by_agency": "SELECT agency, count(*) AS rows, round(avg(final_cltv), 6) AS mean_value FROM marked GROUP BY agency",
     "profile_numeric": _numeric_profile("final", _FINAL_NUMBERS),
     "profile_quantiles_exact": _union(
-        f"SELECT '{c}' AS column_name, CAST({q} AS DOUBLE) AS probability, round(quantile_cont(CAST({c} AS DOUBLE), {q}), 6) AS value FROM marked"
-        for c in _QUANTILE_COLUMNS
+        f"SELECT '{c}' AS column_name, CAST({q} AS DOUBLE) AS probability, round(quantile_cont(CAST({c} AS DOUBLE), {q}), 6) AS value FROM final"
+        for c in _FINAL_NUMBERS
         for q in (0.25, 0.5, 0.75)
     ),
     "profile_categorical": _union(

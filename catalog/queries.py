@@ -85,7 +85,7 @@ def src_pipe_text(spark, sf_dir):
     path = shared_folder(spark, "pipe-text")
     files.write_text(standins.fnm_tape(spark, sf_dir), tapes.FNM_FIELDS, path)
     read = tapes.read_tape(spark, path)
-    return read.select("column001", "column002", "column004", "column009", "column012", "column023", "column085", "column109")
+    return read.select(*tapes.FNM_FIELDS)
 
 
 @query
@@ -119,11 +119,73 @@ def _perf_files(spark, sf_dir, root):
 
 @query
 def src_zip_members(spark, sf_dir):
-    root = shared_folder(spark, "zips")
-    files.zip_parts(spark, _perf_files(spark, sf_dir, f"{root}/text"), f"{root}/zip")
-    members = archives.archive_members(spark, f"{root}/zip")
-    _, perf = lakehouse.read_fre_archives(members)
-    return perf.select("quarter", "column00", "column01", "column02", "column03", "column25", "column31")
+    """Origination and performance files of a year in one nested zip per archive."""
+    orig, perf, _ = _zipped_fre(spark, sf_dir, shared_folder(spark, "zips"))
+    named = orig.select(F.lit("origination").alias("kind"), "quarter", *tapes.FRE_FIELDS)
+    return named.unionByName(perf.select(F.lit("performance").alias("kind"), "quarter", *tapes.FRE_FIELDS))
+
+
+@query
+def src_zip_single_file(spark, sf_dir):
+    """Single-file tapes, a nested zip per part."""
+    root = shared_folder(spark, "zips-fnm")
+    return _zipped_fnm(spark, standins.fnm_tape(spark, sf_dir), root)[0].select(*tapes.FNM_FIELDS)
+
+
+@query
+def ingest_second_archive(spark, sf_dir):
+    """An archive is loaded after another, then the first once more: both are there, once."""
+    root = shared_folder(spark, "second")
+    tape = standins.fnm_tape(spark, sf_dir)
+    early = F.col("column001") % 2 == 0
+    for name, rows in (("first", tape.where(early)), ("second", tape.where(~early)), ("first", tape.where(early))):
+        files.write_text(rows.coalesce(1), tapes.FNM_FIELDS, f"{root}/{name}/text", F.lit("tape.csv")) if not _exists(spark, f"{root}/{name}/zip") else None
+        if not _exists(spark, f"{root}/{name}/zip"):
+            files.zip_parts(spark, f"{root}/{name}/text", f"{root}/{name}/zip", F.lit(name))
+        rows, _ = lakehouse.read_fnm_archives(archives.archive_entries(spark, f"{root}/{name}/zip"), f"{root}/bronze")
+        silver = lakehouse.write_fnm_silver(spark, rows, f"{root}/silver")
+    return silver.select("agency", F.col("archive").cast("string").alias("archive"), *tapes.FNM_FIELDS)
+
+
+@query
+def ingest_duplicate_vintage(spark, sf_dir):
+    """Every quarter comes in two archives: each is loaded from one, the other is reported."""
+    root = shared_folder(spark, "twice")
+    orig, perf, members = _zipped_fre(spark, sf_dir, root, copies=("a", "b"))
+    silver = lakehouse.write_fre_silver(spark, orig, perf, f"{root}/silver", lakehouse.member_quarters(members))
+    status = lakehouse.ingest_status(orig, silver, members)
+    return status.groupBy("status").agg(F.count("*").alias("sources"), F.sum("row_count").alias("row_count"))
+
+
+def _exists(spark, path):
+    from pyspark.errors import AnalysisException
+
+    try:
+        return not spark.read.format("binaryFile").load(path).isEmpty()
+    except AnalysisException:
+        return False
+
+
+def _text(tape, path):
+    files.write_text(tape, tapes.FNM_FIELDS, path, F.lit("tape.csv"))
+    return path
+
+
+def _zipped_fre(spark, sf_dir, root, copies=("a",)):
+    """Both kinds of files in an archive per year, once for each name in ``copies``."""
+    _perf_files(spark, sf_dir, f"{root}/text/perf")
+    name = F.concat(F.lit("historical_data_"), F.col("quarter"), F.lit(".txt"))
+    files.write_text(standins.orig_tape(spark, sf_dir), tapes.FRE_FIELDS, f"{root}/text/orig", name)
+    year = F.regexp_extract("member", "_(2[0-9]{3})Q", 1)
+    for copy in copies:
+        files.zip_parts(spark, f"{root}/text", f"{root}/zip", F.concat(year, F.lit(copy)))
+    return lakehouse.read_fre_archives(archives.archive_entries(spark, f"{root}/zip"), f"{root}/bronze")
+
+
+def _zipped_fnm(spark, tape, root):
+    files.write_text(tape, tapes.FNM_FIELDS, f"{root}/text")
+    files.zip_parts(spark, f"{root}/text", f"{root}/zip")
+    return lakehouse.read_fnm_archives(archives.archive_entries(spark, f"{root}/zip"), f"{root}/bronze")
 
 
 @query
@@ -162,18 +224,23 @@ def ingest_status(spark, sf_dir):
     root = shared_folder(spark, "status")
     files.zip_parts(spark, _perf_files(spark, sf_dir, f"{root}/text"), f"{root}/zip")
     files.write_bytes(f"{root}/zip/damaged.zip", b"this is no archive\n" * 100)
-    members = archives.archive_members(spark, f"{root}/zip")
-    _, perf = lakehouse.read_fre_archives(members)
+    files.write_zip(f"{root}/zip/latin.zip", "historical_data_time_2099Q1.txt", b"1|caf\xe9|\n")
+    _, perf, members = lakehouse.read_fre_archives(archives.archive_entries(spark, f"{root}/zip"), f"{root}/bronze")
     quarters = lakehouse.member_quarters(members)
     silver = lakehouse.write_fre_silver(spark, standins.orig_tape(spark, sf_dir), perf, f"{root}/silver", quarters)
-    return lakehouse.ingest_status(_ship_quarters(spark, sf_dir), silver, members)
+    files.zip_parts(spark, _text(standins.fnm_tape(spark, sf_dir), f"{root}/fnm/text"), f"{root}/fnm/zip", F.lit("whole"))
+    files.write_zip(f"{root}/fnm/zip/latin.zip", "tape.csv", b"1|caf\xe9|\n")
+    _, single = lakehouse.read_fnm_archives(archives.archive_entries(spark, f"{root}/fnm/zip"), f"{root}/fnm/bronze")
+    status = lakehouse.ingest_status(_ship_quarters(spark, sf_dir), silver, members).unionByName(lakehouse.fnm_status(single))
+    return status.withColumn("error", F.substring_index("error", ":", 1))
 
 
 @query
 def dataset_footprint(spark, sf_dir):
+    """Size of the performance tape as text files."""
     path = shared_folder(spark, "footprint")
-    sinks.write_layer(standins.perf_tape(spark, sf_dir), path, sinks.SNAPPY, ("quarter",), rebalance=True)
-    return tapes.footprint(spark, path)
+    files.write_text(standins.perf_tape(spark, sf_dir), tapes.FRE_FIELDS, path)
+    return tapes.footprint(spark, path).select("bytes")
 
 
 @query
@@ -188,7 +255,7 @@ def describe_schema(spark, sf_dir):
 def sink_roundtrip_snappy(spark, sf_dir):
     path = shared_folder(spark, "snappy")
     sinks.write_layer(fre_silver(spark, sf_dir), path, sinks.SNAPPY, ("agency", "quarter"), rebalance=True)
-    return tapes.read_layer(spark, path).select("agency", "quarter", "column00", "column19", "column00_1", "column01_1", "column02_1")
+    return tapes.read_layer(spark, path)
 
 
 @query
@@ -385,19 +452,39 @@ def profile_numeric(spark, sf_dir):
 
 @query
 def profile_quantiles_approx(spark, sf_dir):
-    return profile.numeric_profile(final(spark, sf_dir))
+    """Whether each approximate quartile of the final table has the rank that the sketch promises."""
+    return _within(spark, sf_dir, lambda table: profile.numeric_profile(table), 0.01)
 
 
 @query
 def profile_quantiles_percentile(spark, sf_dir):
-    return profile.quartiles_percentile_approx(canonical(standins.fnm_tape(spark, sf_dir), FNM))
+    return _within(spark, sf_dir, lambda table: profile.quartiles_percentile_approx(table), 0.001)
+
+
+def _within(spark, sf_dir, quartiles, error):
+    """column_name, quartile, within: a column's rank of its quartile, over all rows, is off by no more than ``error``."""
+    path = shared_folder(spark, "within")
+    sinks.write_layer(final(spark, sf_dir), path)
+    table = tapes.read_layer(spark, path)
+    columns = profile.numeric_columns(table)
+    found = quartiles(table).select("column_name", *profile.QUARTILES)
+    values = table.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    ranks = values.join(F.broadcast(found), "column_name").groupBy("column_name").agg(
+        F.count("value").alias("n"), *[F.count_if(F.col("value") < F.col(q)).alias(f"below_{q}") for q in profile.QUARTILES], *[F.count_if(F.col("value") <= F.col(q)).alias(f"to_{q}") for q in profile.QUARTILES]
+    )
+    rows = [
+        F.struct(F.lit(q).alias("quartile"), ((F.col("n") == 0) | ((F.col(f"below_{q}") <= (p + error) * F.col("n") + 1) & (F.col(f"to_{q}") >= (p - error) * F.col("n") - 1))).alias("within"))
+        for q, p in profile.QUARTILES.items()
+    ]
+    return ranks.select("column_name", F.explode(F.array(*rows)).alias("r")).select("column_name", "r.*")
 
 
 @query
 def profile_quantiles_exact(spark, sf_dir):
-    columns = ["orig_upb", "current_upb", "orig_ltv", "credit_score", "loan_age", "eltv", "mtm_cltv"]
     path = shared_folder(spark, "quantiles")
-    sinks.write_layer(marked(spark, sf_dir).select(*columns), path)
+    table = final(spark, sf_dir)
+    columns = profile.numeric_columns(table)
+    sinks.write_layer(table.select(*columns), path)
     found = exact_quantiles(tapes.read_layer(spark, path), columns, QUARTILES)
     return found.withColumn("value", casts.round_half_away(F.col("value"), 6))
 
@@ -590,13 +677,18 @@ def polish_final(spark, sf_dir):
 
 @query
 def full_refresh(spark, sf_dir):
-    """Every layer written and read back, from the tapes to the numeric profile."""
-    built = lakehouse.refresh(
-        spark,
-        standins.fnm_tape(spark, sf_dir),
-        standins.orig_tape(spark, sf_dir),
-        standins.perf_tape(spark, sf_dir),
-        standins.raw_index(spark, sf_dir),
-        shared_folder(spark, "refresh"),
-    )
+    """Every layer written and read back, from archives and the index file to the numeric profile."""
+    root = shared_folder(spark, "refresh")
+    _zipped_fre(spark, sf_dir, f"{root}/fre")
+    _zipped_fnm(spark, standins.fnm_tape(spark, sf_dir), f"{root}/fnm")
+    standins.raw_index(spark, sf_dir).write.csv(f"{root}/index", header=True)
+    built, _ = lakehouse.refresh_archives(spark, f"{root}/fnm/zip", f"{root}/fre/zip", f"{root}/index", f"{root}/lake")
     return exact_profile(built)
+
+
+@query
+def profile_report(spark, sf_dir):
+    """The short blocks of the profile: totals by agency and the loans of negative age."""
+    totals, _, _, negative = lakehouse.profile(final(spark, sf_dir))
+    figures = totals.select(F.concat(F.lit("rows "), "agency").alias("figure"), F.col("row_count").cast("double").alias("value"))
+    return figures.unionByName(negative.select(F.lit("negative age pct").alias("figure"), F.col("pct").alias("value")))

@@ -18,12 +18,12 @@ _NUMBER_IN_DISGUISE = r"(?i)([0-9.]\s+|^\s*[+-]?(inf|infinity|nan)\s*)$"
 
 
 def try_double(text: Column) -> Column:
-    """Text to double. A Java type suffix (``1d``, ``12f``) is not part of a number here.
+    """Text to double. A Java type suffix (``1d``, ``12f``) or hexadecimal digits (``0x1p3``) make no number here.
 
     A failed cast costs an exception, so text that cannot be a number (a letter code, say) is told by its last
     character before it gets that far.
     """
-    ends_plain = F.right(text, F.lit(1)).between(".", "9")
+    ends_plain = F.right(text, F.lit(1)).between(".", "9") & ~F.contains(F.lower(text), F.lit("x"))
     return F.when(ends_plain | text.rlike(_NUMBER_IN_DISGUISE), text.try_cast("double"))
 
 

@@ -33,11 +33,12 @@ def _histogram(values: DataFrame, intervals: list[tuple], buckets: int) -> list:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], buckets: int = 512) -> DataFrame:
     """``column_name, probability, value``, interpolated between neighbouring ranks; NULL for a column without values.
 
-    Eager: runs one job per pass, and returns a table of ``columns x probabilities`` rows. Finite values only.
+    Eager: runs one job per pass, and returns a table of ``columns x probabilities`` rows. NaN and the infinities are
+    no values here; every pass narrows all intervals that are still open, so the passes end.
     """
     spark = df.sparkSession
     doubles = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    values = doubles.unpivot([], list(columns), "column_name", "value").where(F.col("value").isNotNull())
+    values = doubles.unpivot([], list(columns), "column_name", "value").where(F.abs("value") < float("inf"))
     ranges = {
         r["column_name"]: r
         for r in values.groupBy("column_name").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()

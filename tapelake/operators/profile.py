@@ -28,8 +28,13 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, StringType)]
 
 
+def _col(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def _as_double(name: str) -> Column:
-    return F.col(f"`{name}`").cast("double")
+    return _col(name).cast("double")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, quartiles: bool = True) -> DataFrame:
@@ -103,27 +108,29 @@ def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, top
     smaller value, NULL last.
     """
     columns = [c for c in (columns or text_columns(df)) if c not in exclude]
-    pairs = df.select(*columns).unpivot([], columns, "column_name", "val")
+    pairs = df.select(*[F.struct(F.lit(c).alias("column_name"), _col(c).alias("val")).alias(f"c{i}") for i, c in enumerate(columns)])
+    pairs = pairs.select(F.explode(F.array(*pairs.columns)).alias("pair")).select("pair.*")
     counts = pairs.groupBy("column_name", "val").agg(F.count("*").alias("freq"))
-    total = df.agg(F.count("*")).scalar()
+    totals = counts.groupBy("column_name").agg(F.sum("freq").alias("total"))
     best = Window.partitionBy("column_name").orderBy(F.desc("freq"), F.asc_nulls_last("val"))
     return (
         counts.withColumn("place", F.row_number().over(best))
         .where(F.col("place") <= top)
-        .select("column_name", "val", "freq", percent(F.col("freq"), total).alias("pct"))
+        .join(F.broadcast(totals), "column_name")
+        .select("column_name", "val", "freq", percent(F.col("freq"), F.col("total")).alias("pct"))
     )
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """``<column>, freq, pct`` of every value of one column."""
     total = df.agg(F.count("*")).scalar()
-    counts = df.groupBy(column).agg(F.count("*").alias("freq"))
-    return counts.select(column, "freq", percent(F.col("freq"), total).alias("pct"))
+    counts = df.groupBy(_col(column)).agg(F.count("*").alias("freq"))
+    return counts.select(_col(column), "freq", percent(F.col("freq"), total).alias("pct"))
 
 
 def top_values(df: DataFrame, column: str, top: int = 10) -> DataFrame:
     """The most frequent values of one column, most frequent first."""
-    return value_shares(df, column).orderBy(F.desc("freq"), F.asc_nulls_last(column)).limit(top)
+    return value_shares(df, column).orderBy(F.desc("freq"), _col(column).asc_nulls_last()).limit(top)
 
 
 def share_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -134,20 +141,20 @@ def share_where(df: DataFrame, condition: Column) -> DataFrame:
 
 def null_density(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``<column>_null_pct`` for each column: what an enrichment filled shows as the difference between two of them."""
-    counted = df.agg(F.count("*").alias("rows"), *[F.count(c).alias(c) for c in columns])
-    return counted.select(*[percent(F.col("rows") - F.col(c), F.col("rows"), 6).alias(f"{c}_null_pct") for c in columns])
+    counted = df.agg(F.count("*").alias("rows"), *[F.count(_col(c)).alias(f"n{i}") for i, c in enumerate(columns)])
+    return counted.select(*[percent(F.col("rows") - F.col(f"n{i}"), F.col("rows"), 6).alias(f"{c}_null_pct") for i, c in enumerate(columns)])
 
 
 def mean_by(df: DataFrame, key: str, value: str) -> DataFrame:
     """``<key>, rows, mean_value``: the read-back check after a layer is written."""
-    means = df.groupBy(key).agg(F.count("*").alias("rows"), F.avg(value).alias("mean_value"))
+    means = df.groupBy(_col(key)).agg(F.count("*").alias("rows"), F.avg(_col(value)).alias("mean_value"))
     return means.withColumn("mean_value", round_half_away(F.col("mean_value"), 6))
 
 
 def describe(df: DataFrame) -> DataFrame:
     """``ordinal, column_name, column_type, values``: the schema, with the number of non-NULL values."""
     columns = list(enumerate(df.schema))
-    counted = df.agg(*[F.count(f"`{field.name}`").alias(f"n{i}") for i, field in columns])
+    counted = df.agg(*[F.count(_col(field.name)).alias(f"n{i}") for i, field in columns])
     rows = F.array(
         *[
             F.struct(

@@ -5,13 +5,14 @@ A layer on shared storage also cuts the lineage: after a lost executor, work res
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapelake.operators.canonical import unify_tapes
+from tapelake.operators.lookup import small_side
 from tapelake.operators.polish import polish
-from tapelake.operators.price_index import standardise
-from tapelake.operators.profile import categorical_profile, numeric_profile
+from tapelake.operators.price_index import duplicate_keys, standardise
+from tapelake.operators.profile import categorical_profile, numeric_profile, share_where
 from tapelake.operators.tape_join import join_performance
 from tapelake.operators.valuation import mark_to_market
 from tapelake.sources import archives, tapes
@@ -19,6 +20,8 @@ from tapelake.sources.sinks import SNAPPY, ZSTD, write_layer
 
 # Agency names in the silver layer.
 FRE_SILVER, FNM_SILVER = "freddie", "fannie"
+# The archive of a single-file tape that did not come in one.
+UNPACKED = "none"
 
 
 def fre_silver(orig: DataFrame, perf: DataFrame, perf_quarters: DataFrame | None = None) -> DataFrame:
@@ -41,22 +44,61 @@ def read_fre_files(spark: SparkSession, folder: str, width: int = tapes.FRE_WIDT
     return orig, tapes.with_quarter(tapes.read_tape(spark, f"{folder}/{tapes.PERF_FILES}", width))
 
 
-def read_fre_archives(members: DataFrame, width: int = tapes.FRE_WIDTH) -> tuple[DataFrame, DataFrame]:
-    """The same from zip archives. ``members`` comes from ``archive_members``."""
+def read_fre_archives(entries: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Origination and performance rows of the archives' pairs, each with its quarter, and ``fre_members``.
+
+    Every archive is read once, into a bronze table at ``path``.
+    """
+    bronze = archives.write_bronze(entries, path, tapes.FRE_WIDTH, tapes.QUARTER_PATTERN)
+    members = fre_members(bronze)
     quarter = tapes.quarter_of_path(F.col("member"))
-    is_perf = F.contains(F.col("member"), F.lit("historical_data_time_"))
 
-    def read(wanted) -> DataFrame:
-        lines = archives.member_lines(members.where(quarter.isNotNull() & wanted))
-        return archives.parse_lines(lines.withColumn("quarter", quarter), width, keep=("quarter",))
+    def read(kind: str) -> DataFrame:
+        rows = archives.rows_of(bronze, members.where((F.col("status") == "read") & (F.col("kind") == kind)))
+        return rows.select(quarter.alias("quarter"), *tapes.FRE_FIELDS, "beyond")
+
+    return read("origination").drop("beyond"), read("performance").drop("beyond"), members
+
+
+def fre_members(bronze: DataFrame) -> DataFrame:
+    """``archive, entry, member, rows, error, quarter, kind, status`` of the members of a bronze table.
+
+    Of the undamaged members of one quarter and kind, one is ``read``: that of the archive whose name sorts last, so a later
+    delivery replaces an earlier one. The others are ``superseded``; a member that could not be read is ``failed``.
+    """
+    found = archives.outcomes(bronze)
+    kind = F.when(F.contains("member", F.lit("historical_data_time_")), "performance").when(F.col("member").isNotNull(), "origination")
+    found = found.select("*", tapes.quarter_of_path(F.col("member")).alias("quarter"), kind.alias("kind"))
+    last = Window.partitionBy("quarter", "kind", F.col("error").isNull()).orderBy(F.desc("archive"), F.desc("entry"), F.desc("member"))
+    place = F.row_number().over(last)
+    return found.select("*", F.when(F.col("error").isNotNull(), "failed").when(place == 1, "read").otherwise("superseded").alias("status"))
+
+
+def read_fnm_archives(entries: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Every delimited member of the single-file archives, with its archive's name, and the outcome of each member.
+
+    An archive with a member that failed is left out as a whole, so that what an earlier load has of it stays.
+    """
+    bronze = archives.write_bronze(entries, path, tapes.FNM_WIDTH, r"\.csv$")
+    members = archives.outcomes(bronze)
+    broken = members.where(F.col("error").isNotNull()).select("archive").distinct()
+    whole = members.join(small_side(broken), "archive", "left_anti")
+    return archives.rows_of(bronze, whole).select(archive_name().alias("archive"), *tapes.FNM_FIELDS, "beyond"), members
 
-    return read(~is_perf), read(is_perf)
 
+def archive_name() -> Column:
+    """An archive's file name, the key by which a later load replaces it."""
+    return F.element_at(F.split("archive", "/"), -1)
 
-def read_fnm_archives(members: DataFrame, width: int = tapes.FNM_WIDTH) -> DataFrame:
-    """Every delimited member of the single-file archives."""
-    lines = archives.member_lines(members.where(F.lower("member").endswith(".csv")))
-    return archives.parse_lines(lines, width)
+
+def fnm_status(members: DataFrame) -> DataFrame:
+    """``source, status, row_count, error``: one row per single-file archive."""
+    error = F.max("error")
+    return members.groupBy(archive_name().alias("source")).agg(
+        F.when(error.isNull(), "loaded").otherwise("failed").alias("status"),
+        F.when(error.isNull(), F.sum("rows")).otherwise(F.lit(0)).alias("row_count"),
+        error.alias("error"),
+    )
 
 
 def file_quarters(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,9 +108,8 @@ def file_quarters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def member_quarters(members: DataFrame) -> DataFrame:
-    """Quarters of the undamaged performance members of archives."""
-    perf = members.where(F.contains("member", F.lit("historical_data_time_")) & F.col("error").isNull())
-    return perf.select(tapes.quarter_of_path(F.col("member")).alias("quarter"))
+    """Quarters of the performance members that were read."""
+    return members.where("status = 'read' AND kind = 'performance'").select("quarter")
 
 
 def write_fre_silver(
@@ -79,14 +120,17 @@ def write_fre_silver(
 
 
 def write_fnm_silver(spark: SparkSession, tape: DataFrame, path: str) -> DataFrame:
-    write_layer(fnm_silver(tape), path, SNAPPY, ("agency",))
+    """One partition per agency and archive: a load replaces the archives it brings and leaves all others."""
+    if "archive" not in tape.columns:
+        tape = tape.withColumn("archive", F.lit(UNPACKED))
+    write_layer(fnm_silver(tape), path, SNAPPY, ("agency", "archive"), rebalance=True)
     return tapes.read_layer(spark, path)
 
 
 def ingest_status(orig_quarters: DataFrame, silver: DataFrame, members: DataFrame | None = None) -> DataFrame:
-    """``source, status, row_count, error``: one row per quarter, and per damaged archive member.
+    """``source, status, row_count, error``: one row per quarter, and per member that failed or was superseded.
 
-    A quarter is ``loaded``, or ``no performance file``; a member that could not be read is ``failed``.
+    A quarter is ``loaded``, or ``no performance file``.
     """
     loaded = silver.groupBy("quarter").agg(F.count("*").alias("row_count"))
     status = orig_quarters.select("quarter").distinct().join(loaded, "quarter", "left")
@@ -98,11 +142,9 @@ def ingest_status(orig_quarters: DataFrame, silver: DataFrame, members: DataFram
     )
     if members is None:
         return rows
-    failed = members.where(F.col("error").isNotNull())
-    source = F.coalesce("member", "inner", F.element_at(F.split("archive", "/"), -1))
-    return rows.unionByName(
-        failed.select(source.alias("source"), F.lit("failed").alias("status"), F.lit(0).cast("bigint").alias("row_count"), "error")
-    )
+    source = F.coalesce("member", "entry", archive_name())
+    other = members.where("status <> 'read'").select(source.alias("source"), "status", F.lit(0).cast("bigint").alias("row_count"), "error")
+    return rows.unionByName(other)
 
 
 def write_gold(spark: SparkSession, fnm: DataFrame, fre: DataFrame, path: str) -> DataFrame:
@@ -111,8 +153,13 @@ def write_gold(spark: SparkSession, fnm: DataFrame, fre: DataFrame, path: str) -
 
 
 def write_index(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame:
+    """The index layer; a (level, geography, month) that occurs twice would multiply loans, so it stops the load."""
     write_layer(standardise(raw), path, SNAPPY)
-    return tapes.read_layer(spark, path)
+    index = tapes.read_layer(spark, path)
+    if twice := duplicate_keys(index).orderBy("GEO_Type", "geography", "hpi_date").limit(5).collect():
+        names = "; ".join(f"{r.GEO_Type} {r.geography} {r.hpi_date} ({r.copies} times)" for r in twice)
+        raise ValueError(f"index keys that are not unique, among them: {names}")
+    return index
 
 
 def write_marked(spark: SparkSession, gold: DataFrame, index: DataFrame, path: str) -> DataFrame:
@@ -125,16 +172,28 @@ def write_final(spark: SparkSession, marked: DataFrame, path: str) -> DataFrame:
     return tapes.read_layer(spark, path)
 
 
-def refresh(spark: SparkSession, fnm_tape: DataFrame, orig: DataFrame, perf: DataFrame, raw_index: DataFrame, root: str) -> DataFrame:
+def refresh(
+    spark: SparkSession, fnm_tape: DataFrame, orig: DataFrame, perf: DataFrame, raw_index: DataFrame, root: str, perf_quarters: DataFrame | None = None
+) -> DataFrame:
     """Build every layer under ``root`` and return the final table."""
     fnm = write_fnm_silver(spark, fnm_tape, f"{root}/silver/fnm")
-    fre = write_fre_silver(spark, orig, perf, f"{root}/silver/fre")
+    fre = write_fre_silver(spark, orig, perf, f"{root}/silver/fre", perf_quarters)
     index = write_index(spark, raw_index, f"{root}/silver/index")
     gold = write_gold(spark, fnm, fre, f"{root}/gold/unified")
     marked = write_marked(spark, gold, index, f"{root}/gold/marked")
     return write_final(spark, marked, f"{root}/gold/final")
 
 
-def profile(final: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Numeric and categorical profile of the final table."""
-    return numeric_profile(final), categorical_profile(final)
+def refresh_archives(spark: SparkSession, fnm_archives: str, fre_archives: str, index_csv: str, root: str) -> tuple[DataFrame, DataFrame]:
+    """From folders of archives and the index file to the final table, and the status of every archive and quarter."""
+    fnm, fnm_found = read_fnm_archives(archives.archive_entries(spark, fnm_archives), f"{root}/bronze/fnm")
+    orig, perf, fre_found = read_fre_archives(archives.archive_entries(spark, fre_archives), f"{root}/bronze/fre")
+    final = refresh(spark, fnm, orig, perf, tapes.read_index_csv(spark, index_csv), root, member_quarters(fre_found))
+    silver = tapes.read_layer(spark, f"{root}/silver/fre")
+    return final, ingest_status(orig, silver, fre_found).unionByName(fnm_status(fnm_found))
+
+
+def profile(final: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The four blocks of the final table's profile: totals, numeric columns, text columns, loans of negative age."""
+    totals = final.groupBy("agency").agg(F.count("*").alias("row_count"))
+    return totals, numeric_profile(final), categorical_profile(final), share_where(final, F.col("loan_age") < 0)

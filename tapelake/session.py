@@ -47,10 +47,12 @@ def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, run-unique path in the folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only where that is unset, as in tests on one machine, a temporary folder is set and used.
+    Only where that is unset and the session runs on one machine, as in tests, a temporary folder is set and used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master", ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tapelake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

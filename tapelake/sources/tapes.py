@@ -50,23 +50,31 @@ def csv_options(sep: str = SEPARATOR) -> dict[str, str]:
 
 
 def tape_width(spark: SparkSession, paths: str | list[str], sep: str = SEPARATOR) -> int:
-    """Number of fields in the first line found."""
-    first = spark.read.text(paths).limit(1).select(F.size(F.split("value", F.lit("\\" + sep), -1)).alias("n")).head()
-    if first is None:
+    """The largest number of fields in any line: one pass over all lines, combined in the tasks."""
+    widest = spark.read.text(paths).agg(F.max(F.size(F.split("value", F.lit("\\" + sep), -1)))).head()[0]
+    if widest is None:
         raise ValueError(f"no lines in {paths}")
-    return first["n"]
+    return widest
 
 
 def read_tape(spark: SparkSession, paths: str | list[str], width: int | None = None, sep: str = SEPARATOR) -> DataFrame:
     """Tape files (a path, a glob or several) with positional string columns.
 
-    Without ``width`` the first line decides; the schema is explicit either way, so Spark makes no inference pass and
-    parses only the fields a query uses.
+    Without ``width`` the widest line decides, so no field is lost; shorter lines end in NULLs. With a ``width``, the schema
+    is a layout's: ``too_wide`` tells which lines have more. It is explicit either way, so Spark makes no inference pass
+    and parses only the fields a query uses.
     """
     names = field_names(width or tape_width(spark, paths, sep))
     return spark.read.schema(string_schema(names)).options(**csv_options(sep)).csv(paths)
 
 
+def too_wide(spark: SparkSession, paths: str | list[str], width: int, sep: str = SEPARATOR) -> DataFrame:
+    """``path, line, fields`` of the lines with more fields than a layout has."""
+    fields = F.size(F.split("value", F.lit("\\" + sep), -1))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), fields.alias("fields"))
+    return lines.where(F.col("fields") > width)
+
+
 def quarter_of_path(path: Column) -> Column:
     """Vintage quarter in a tape's file name, NULL if there is none."""
     return F.nullif(F.regexp_extract(path, QUARTER_PATTERN, 1), F.lit(""))

@@ -35,9 +35,23 @@ def test_text_rules(spark, folder):
     (folder / "t.csv").write_text('a||" x"|\n\nb| |2|"\n')
     tape = tapes.read_tape(spark, str(folder / "t.csv"))
     assert tape.columns == ["column0", "column1", "column2", "column3"]
-    assert [tuple(r) for r in tape.collect()] == [("a", None, '" x"', None), ("b", " ", "2", '"')]
-    lines = spark.createDataFrame([('a||" x"|',), ("b| |2|\"",)], "line string")
-    assert [tuple(r) for r in archives.parse_lines(lines, 4).collect()] == [tuple(r) for r in tape.collect()]
+    rows = [("a", None, '" x"', None), ("b", " ", "2", '"')]
+    assert [tuple(r) for r in tape.collect()] == rows
+    with zipfile.ZipFile(folder / "t.zip", "w") as z:
+        z.write(folder / "t.csv", "t.csv")
+    bronze = archives.write_bronze(archives.archive_entries(spark, str(folder / "t.zip")), str(folder / "bronze"), 4, "csv$")
+    assert [tuple(r) for r in archives.rows_of(bronze, archives.outcomes(bronze)).select(tape.columns).collect()] == rows
+
+
+def test_wider_lines_lose_nothing(spark, folder):
+    (folder / "t.csv").write_text("a|1\nb|2|3|more\nc\n")
+    assert [tuple(r) for r in tapes.read_tape(spark, str(folder / "t.csv")).collect()] == [("a", "1", None, None), ("b", "2", "3", "more"), ("c", None, None, None)]
+    assert [(r.line, r.fields) for r in tapes.too_wide(spark, str(folder / "t.csv"), 2).collect()] == [("b|2|3|more", 4)]
+    with zipfile.ZipFile(folder / "t.zip", "w") as z:
+        z.write(folder / "t.csv", "t.csv")
+    bronze = archives.write_bronze(archives.archive_entries(spark, str(folder / "t.zip")), str(folder / "bronze"), 2, "csv$")
+    got = archives.rows_of(bronze, archives.outcomes(bronze)).select("column0", "column1", "beyond").collect()
+    assert [tuple(r) for r in got] == [("a", "1", None), ("b", "2", ["3", "more"]), ("c", None, None)]
 
 
 def test_field_names():
@@ -77,19 +91,80 @@ def test_archives(spark, folder):
     raw = (folder / "damaged.zip").read_bytes()
     (folder / "damaged.zip").write_bytes(raw.replace(b"payload payload", b"payload-payload", 1))
 
-    members = archives.archive_members(spark, str(folder))
-    status = {(r.archive.rsplit("/", 1)[1], r.member): r.error for r in members.collect()}
-    assert {k[0] for k, error in status.items() if error} == {"broken.zip", "cut.zip", "damaged.zip"}
-    assert "CRC" in status["damaged.zip", "bad.csv"]
-
-    orig, perf = lakehouse.read_fre_archives(members)
+    (folder / "fnm").mkdir()
+    for name in ("flat.zip", "damaged.zip"):
+        (folder / name).rename(folder / "fnm" / name)
+    with zipfile.ZipFile(folder / "fnm/latin.zip", "w") as z:
+        z.writestr("good.csv", "g|1\n")
+        z.writestr("bad.csv", b"caf\xe9|1\n")
+    orig, perf, found = lakehouse.read_fre_archives(archives.archive_entries(spark, f"{folder}/*.zip"), str(folder / "bronze"))
+    assert {(r.archive.rsplit("/", 1)[1], r.status) for r in found.collect()} == {("year.zip", "read"), ("broken.zip", "failed"), ("cut.zip", "failed")}
     assert sorted((r.quarter, r.column19) for r in orig.collect()) == [("2021Q1", "A"), ("2021Q1", "B")]
     assert [(r.quarter, r.column00, r.column01) for r in perf.collect()] == [("2021Q1", "A", "202101")]
-    fnm = lakehouse.read_fnm_archives(members, width=2)
-    assert sorted(tuple(r) for r in fnm.collect()) == [("x", "1"), ("y", "2"), ("z", "3")]
-    silver = lakehouse.write_fre_silver(spark, orig, perf, str(folder / "silver"))
-    rows = {r.source: (r.status, r.row_count) for r in lakehouse.ingest_status(orig, silver, members).collect()}
-    assert rows["2021Q1"] == ("loaded", 2) and rows["bad.csv"][0] == "failed" and rows["broken.zip"][0] == "failed"
+    silver = lakehouse.write_fre_silver(spark, orig, perf, str(folder / "silver"), lakehouse.member_quarters(found))
+    rows = {r.source: (r.status, r.row_count) for r in lakehouse.ingest_status(orig, silver, found).collect()}
+    assert rows == {"2021Q1": ("loaded", 2), "broken.zip": ("failed", 0), "cut.zip": ("failed", 0)}
+
+    fnm, single = lakehouse.read_fnm_archives(archives.archive_entries(spark, f"{folder}/fnm"), str(folder / "bronze-fnm"))
+    assert sorted((r.archive, r.column000, r.column001) for r in fnm.collect()) == [("flat.zip", "x", "1"), ("flat.zip", "y", "2"), ("flat.zip", "z", "3")]
+    status = {r.source: (r.status, r.row_count, r.error) for r in lakehouse.fnm_status(single).collect()}
+    assert status["flat.zip"] == ("loaded", 3, None)
+    assert status["damaged.zip"][:2] == status["latin.zip"][:2] == ("failed", 0)
+    assert "CRC" in status["damaged.zip"][2] and "UTF8" in status["latin.zip"][2]
+
+
+def test_loads_keep_other_archives_and_replace_their_own(spark, folder):
+    def load(**members):
+        (folder / "in").mkdir(exist_ok=True)
+        for old in (folder / "in").iterdir():
+            old.unlink()
+        for name, text in members.items():
+            with zipfile.ZipFile(folder / "in" / f"{name}.zip", "w") as z:
+                z.writestr("tape.csv", text)
+        rows, _ = lakehouse.read_fnm_archives(archives.archive_entries(spark, f"{folder}/in"), str(folder / "bronze"))
+        silver = lakehouse.write_fnm_silver(spark, rows, str(folder / "silver"))
+        return sorted((r.archive, r.column000) for r in silver.collect())
+
+    assert load(a="1|\n") == [("a.zip", "1")]
+    assert load(b="2|\n") == [("a.zip", "1"), ("b.zip", "2")]
+    assert load(a="3|\n4|\n") == [("a.zip", "3"), ("a.zip", "4"), ("b.zip", "2")]
+    assert load(a=b"caf\xe9|\n") == [("a.zip", "3"), ("a.zip", "4"), ("b.zip", "2")]
+
+
+def test_a_quarter_in_two_archives_is_read_once(spark, folder):
+    for name in ("old", "new"):
+        nested_zip(folder / f"{name}.zip", {"historical_data_2021Q1.txt": orig_line("A"), "historical_data_time_2021Q1.txt": perf_line("A", f"20210{len(name)}")})
+    orig, perf, found = lakehouse.read_fre_archives(archives.archive_entries(spark, str(folder)), str(folder / "bronze"))
+    silver = lakehouse.write_fre_silver(spark, orig, perf, str(folder / "silver"), lakehouse.member_quarters(found))
+    assert [(r.column19, r.column01_1) for r in silver.collect()] == [("A", "202103")]
+    assert sorted((r.archive.rsplit("/", 1)[1], r.status) for r in found.collect()) == [("new.zip", "superseded")] * 2 + [("old.zip", "read")] * 2
+
+
+def test_a_nested_zip_is_inflated_no_more_than_twice(folder, monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    line = "|".join(str(random.Random(1).random()) for _ in range(40)) + "\n"
+    nested_zip(folder / "n.zip", {f"historical_data_2021Q{i}.txt": line * 3000 for i in range(8)})
+    with zipfile.ZipFile(folder / "n.zip") as outer:
+        inner = outer.read("inner.zip")
+    with zipfile.ZipFile(folder / "n.zip", "w", zipfile.ZIP_DEFLATED) as outer:
+        outer.writestr("inner.zip", inner)
+    passed = []
+    read = zipfile.ZipExtFile._read1
+
+    def counted(self, n):
+        data = read(self, n)
+        passed.append(len(data) if self.name == "inner.zip" else 0)
+        return data
+
+    # ``_read1`` is where a member's bytes are inflated.
+    monkeypatch.setattr(zipfile.ZipExtFile, "_read1", counted)
+    entry = pa.RecordBatch.from_pylist([{"archive": f"file://{folder}/n.zip", "entry": "inner.zip", "bytes": 1, "error": None}])
+    batches = list(archives._reader(32, "historical", "|")(iter([entry])))
+    assert sum(b.num_rows for b in batches) == 8 * 3001 and not any(b.column("error").drop_null() for b in batches)
+    assert sum(passed) <= 2.1 * len(inner)
 
 
 def test_index_csv(spark, folder):
@@ -112,3 +187,14 @@ def test_partition_overwrite_and_codec(spark, folder):
 def test_shared_folder_is_the_configured_one(spark):
     first, second = shared_folder(spark, "a"), shared_folder(spark, "a")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_no_local_folder_on_a_cluster():
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Session, "x")

@@ -97,3 +97,28 @@ def test_no_query_joins_without_a_key(spark):
     for name in ("mtm_enrich", "profile_categorical", "count_by_geo_type", "agency_split"):
         text = plan(queries.QUERIES[name](spark, SF))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_a_duplicate_index_key_stops_the_load(spark, layers, tmp_path):
+    with pytest.raises(ValueError, match="State"):
+        lakehouse.write_index(spark, layers["index"].union(layers["index"].where("GEO_Type = 'State'").limit(1)), f"{tmp_path}/index")
+
+
+def test_the_job_reads_each_archive_once_and_writes_the_report(spark, tmp_path):
+    from catalog import files
+    from tapelake import job
+    from tapelake.sources import tapes
+
+    queries._zipped_fre(spark, SF, f"{tmp_path}/fre")
+    queries._zipped_fnm(spark, standins.fnm_tape(spark, SF), f"{tmp_path}/fnm")
+    standins.raw_index(spark, SF).write.csv(f"{tmp_path}/index", header=True)
+    job.run(spark, f"{tmp_path}/fnm/zip", f"{tmp_path}/fre/zip", f"{tmp_path}/index", f"{tmp_path}/lake")
+    for name in job.BLOCKS:
+        assert spark.read.parquet(f"{tmp_path}/lake/profile/{name}").count() > 0
+    status = {r.status for r in spark.read.parquet(f"{tmp_path}/lake/status").collect()}
+    assert status == {"loaded"} and files is not None
+    bronze = spark.read.parquet(f"{tmp_path}/lake/bronze/fre")
+    members = lakehouse.fre_members(bronze).where("kind = 'performance'")
+    orig = spark.read.parquet(f"{tmp_path}/lake/bronze/fre").select(tapes.quarter_of_path(bronze["member"]).alias("quarter"), *tapes.FRE_FIELDS)
+    text = plan(lakehouse.fre_silver(orig, orig, lakehouse.member_quarters(members)))
+    assert "MapInArrow" not in text  # silver comes from bronze, not from the archives

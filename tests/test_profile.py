@@ -87,3 +87,13 @@ def test_exact_quantiles(spark, buckets):
         for p in probabilities:
             want = None if values[0] is None else float(np.quantile(values, p))
             assert got[name, p] == (want if want is None else pytest.approx(want))
+
+
+def test_odd_names_and_values(spark):
+    df = spark.createDataFrame([("x", 1.0), ("x", float("nan")), (None, 3.0), ("y", float("inf"))], "`a.b` string, `c``d` double")
+    top = {(r.val, r.freq, r.pct) for r in profile.categorical_profile(df).collect()}
+    assert top == {("x", 2, 50.0), ("y", 1, 25.0), (None, 1, 25.0)}
+    assert {r.freq for r in profile.value_shares(df, "a.b").collect()} == {2, 1}
+    assert profile.null_density(df, ["a.b"]).first()[0] == 25.0
+    plain = df.toDF("t", "v")
+    assert [r.value for r in exact_quantiles(plain, ["v"], [0.0, 1.0]).collect()] == [1.0, 3.0]
