@@ -19,7 +19,7 @@ def _suffix_order(symbols: np.ndarray, stop: np.ndarray, longest: int) -> np.nda
         key = (key << 9) | s
     at, h = np.arange(n), 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.ones(n, np.int64)
         new[0] = 0
@@ -27,7 +27,7 @@ def _suffix_order(symbols: np.ndarray, stop: np.ndarray, longest: int) -> np.nda
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new)  # separators, the smallest, get 0
         if h >= longest or new[1:].all():
-            return order
+            return np.argsort(rank * n + at)
         ahead = np.minimum(at + h, n - 1)
         key = rank * (n + 1) + np.where(at + h < stop, rank[ahead], 0)
         h *= 2

@@ -9,8 +9,10 @@ end. An anchor with one context only needs nothing more. Where an anchor has sev
 
 Expansion. The contexts of such anchors meet in blocks of bounded size, whole anchors each; ``bwt.prefix_classes`` finds the
 classes of equal 100-byte strings in a block, and all members of a class but the first by (document, start) are repeated. An
-anchor with more contexts than ``GROUP`` is not brought together: its 100-byte strings are grouped one by one, by a
-128-bit hash, with the first place as an aggregate that is combined before the shuffle.
+anchor with more contexts than ``GROUP`` is not brought together: its runs are cut into short ones, at places that the anchor
+fixes, and go the same way once more, with what the strings of a short run have in common as their anchor. Where even that
+leaves too many, the single strings are grouped by a 128-bit hash, with the first place as an aggregate that is combined
+before the shuffle.
 
 So a text is shuffled once, and once more if anything in it repeats; no group is held in memory, and the rows of a very
 frequent anchor pass through their task in a stream.
@@ -36,10 +38,9 @@ from tapelake.llm.hashing import Prefixes, buffer
 LENGTH = 100
 ANCHOR = 32
 GROUP = 2000
+STEP = 9
 BLOCK_BYTES = 1_000_000
 
-_FAR = np.uint64((1 << 64) - 1)
-
 
 def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
     """Row, first and last start (within the row), anchor hash and context hash of each run of the rows of a buffer."""
@@ -81,7 +82,7 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
 
 def _stream_copies(batches):
     """Rows in the order of anchor, context and place -> repeated runs, and the first run of each of several contexts."""
-    schema = pa.schema([("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("anchor", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("place", pa.int64()), ("anchor", pa.int64())])
     last_anchor = last_context = None
     waiting: tuple | None = None  # the first run of an anchor that has shown one context so far
     several = False
@@ -89,47 +90,39 @@ def _stream_copies(batches):
         if not batch.num_rows:
             continue
         anchor, context, key, place = (batch.column(c).to_numpy() for c in ("anchor", "context", "key", "place"))
-        low, high = place >> 7, (place >> 7) + (place & 127)
         same_anchor, same_context = np.zeros(len(anchor), bool), np.zeros(len(anchor), bool)
         same_anchor[1:] = anchor[1:] == anchor[:-1]
         same_context[1:] = same_anchor[1:] & (context[1:] == context[:-1])
-        same_anchor[0] = anchor[0] == last_anchor if last_anchor is not None else False
+        same_anchor[0] = last_anchor is not None and anchor[0] == last_anchor
         same_context[0] = same_anchor[0] and context[0] == last_context
-        starts = np.flatnonzero(~same_anchor)
         group = np.cumsum(~same_anchor)  # 0: the anchor that the batch before ended with
-        new_context = same_anchor & ~same_context
         multiple = np.zeros(group[-1] + 1, bool)
-        multiple[group[new_context]] = True
+        multiple[group[same_anchor & ~same_context]] = True
         multiple[0] |= several
-        out = [(key[same_context], low[same_context], high[same_context], None)]
-        if waiting is not None and multiple[0] and not several:
+        out = [(key[same_context], place[same_context], None)]
+        if waiting is not None and multiple[0]:
             out.append(tuple(np.array([x]) for x in waiting))
-        # The last anchor's first run may learn only from the next batch that it is not alone.
-        open_last = group[-1]
         first = ~same_context & multiple[group]
-        out.append((key[first], low[first], high[first], anchor[first]))
-        if len(starts):
-            several = bool(multiple[open_last])
-            i = starts[-1]
-            waiting = None if several else (key[i], low[i], high[i], anchor[i])
-        else:
-            several = bool(multiple[0])
-            waiting = None if several else waiting
+        out.append((key[first], place[first], anchor[first]))
+        # The last anchor's first run may learn only from the next batch that it is not alone.
+        several = bool(multiple[-1])
+        if several:
+            waiting = None
+        elif group[-1]:
+            i = np.flatnonzero(~same_anchor)[-1]
+            waiting = key[i], place[i], anchor[i]
         last_anchor, last_context = anchor[-1], context[-1]
-        for k, lo, hi, a in out:
+        for k, at, a in out:
             if len(k):
-                anchors = pa.nulls(len(k), pa.int64()) if a is None else pa.array(a, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), anchors], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(at), pa.nulls(len(k), pa.int64()) if a is None else pa.array(a)], schema=schema)
 
 
 def _expand_blocks(batches):
     """Contexts in the order of anchors -> the repeated starts in them, as runs."""
-    schema = pa.schema([("key", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
+    schema = pa.schema([("key", pa.int64()), ("place", pa.int64())])
 
     def expanded(rows):
         strings, starts, classes = prefix_classes([r[1] for r in rows], LENGTH)
-        if not len(strings):
-            return None
         key = np.array([r[2] for r in rows], np.int64)[strings]
         place = np.array([r[3] for r in rows], np.int64)[strings] + starts
         order = np.lexsort((place, key, classes))
@@ -141,115 +134,167 @@ def _expand_blocks(batches):
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1] + 1)
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(key)) - 1
-        return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(place[first].astype(np.int32)), pa.array(place[last].astype(np.int32))], schema=schema)
+        last = np.append(first[1:], len(key))[: len(first)] - 1
+        return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(place[first] << 32 | place[last])], schema=schema)
 
     block, size = [], 0
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "key", "low")), strict=True):
             if size >= BLOCK_BYTES and row[0] != block[-1][0]:
-                if (out := expanded(block)) is not None:
-                    yield out
+                yield expanded(block)
                 block, size = [], 0
             block.append(row)
             size += len(row[1])
-    if block and (out := expanded(block)) is not None:
-        yield out
+    if block:
+        yield expanded(block)
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
 
+def _streamed(rows: DataFrame) -> DataFrame:
+    """key, place and anchor (null: repeated from end to end) of the rows that matter. A place is low << 32 | high."""
+    dealt = rows.repartition(_partitions(rows), "anchor").sortWithinPartitions("anchor", "context", "key", "place")
+    return written(dealt.mapInArrow(_stream_copies, "key long, place long, anchor long"), "runs")
 
-def _by_document(found: DataFrame, name: str) -> DataFrame:
-    """The runs of each document; with an anchor where there is one."""
-    fields = [c for c in found.columns if c != "key"]
-    return found.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias(name))
+
+def _lists(found: DataFrame) -> DataFrame:
+    """Per document: the repeated runs, those whose contexts are to be compared, and those of crowded anchors."""
+    crowded = found.filter("anchor IS NOT NULL").groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("anchor", F.lit(True).alias("crowded"))
+    marked = found.join(crowded, "anchor", "left")
+    run, known = F.struct("place", "anchor"), F.col("anchor").isNotNull()
+    return marked.groupBy("key").agg(
+        F.collect_list(F.when(~known, F.col("place"))).alias("done"),
+        F.collect_list(F.when(known & F.col("crowded").isNull(), run)).alias("open"),
+        F.collect_list(F.when(known & F.col("crowded"), run)).alias("crowded"),
+    )
 
 
 def _work(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """One row per document: key, doc_id, text, repeated (runs), n_bytes; the text only where something repeats."""
+    """One row per document: key, doc_id, the lists of runs, n_bytes; the text only where something repeats."""
     keyed, unique = _keyed(docs)
 
     def emit(batch: pa.RecordBatch) -> dict:
         row, low, high, anchor, context = runs(*buffer(batch.column("text")))
-        return {"anchor": anchor.view(np.int64), "context": context.view(np.int64), "key": batch.column("key").take(pa.array(row)), "place": low << 7 | high - low}
+        return {"anchor": anchor.view(np.int64), "context": context.view(np.int64), "key": batch.column("key").take(pa.array(row)), "place": low << 32 | high}
 
-    rows = map_batches(keyed, emit, "anchor long, context long, key long, place long", most_bytes=1_000_000)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = written(rows.repartition(n, "anchor").sortWithinPartitions("anchor", "context", "key", "place").mapInArrow(_stream_copies, "key long, low int, high int, anchor long"), "runs")
-    crowded = found.filter("anchor IS NOT NULL").groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("anchor", F.lit(True).alias("crowded"))
-    marked = found.join(crowded, "anchor", "left").select("key", "low", "high", "anchor", F.coalesce("crowded", F.lit(False)).alias("crowded"))
-    lists = _by_document(marked, "runs")
+    found = _streamed(map_batches(keyed, emit, "anchor long, context long, key long, place long", most_bytes=1_000_000))
     text = F.coalesce(keyed["text"], F.lit(""))
-    work = keyed.join(lists.hint("shuffle_hash"), "key", "left").select(
+    some = F.col("done").isNotNull()
+    work = keyed.join(_lists(found).hint("shuffle_hash"), "key", "left").select(
         "key",
         "doc_id",
-        F.when(F.col("runs").isNotNull(), text).alias("text"),
-        "runs",
+        F.when(some, text).alias("text"),
+        "done",
+        "open",
+        "crowded",
         F.xxhash64(keyed["text"]).alias("text_hash"),
         F.octet_length(text).cast("long").alias("n_bytes"),
-        F.when(F.col("runs").isNull(), F.sha2(text, 256)).alias("whole_sha256"),
+        F.when(~some | some.isNull(), F.sha2(text, 256)).alias("whole_sha256"),
     )
     return written(work, "texts"), unique
 
 
-def _expanded(work: DataFrame) -> DataFrame:
-    """The repeated runs in contexts that differ."""
-    n = int(work.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    some = work.filter(F.exists("runs", lambda r: r["anchor"].isNotNull())).select("key", "text", F.filter("runs", lambda r: r["anchor"].isNotNull()).alias("runs"))
+def _runs_of(batch: pa.RecordBatch, name: str):
+    """Row, first and last start, and anchor of the runs in a list column."""
+    column = batch.column(name)
+    offsets = column.offsets.to_numpy()
+    place, anchor = (x.to_numpy() for x in column.flatten().flatten())
+    return np.repeat(np.arange(len(column)), np.diff(offsets)), place >> 32, place & 0xFFFFFFFF, anchor
+
+
+def _blocks(texts: DataFrame) -> DataFrame:
+    """The repeated runs in the contexts of the ``open`` runs."""
 
     def contexts(batch: pa.RecordBatch) -> dict:
-        out = {"anchor": [], "context": [], "key": [], "low": []}
-        for key, text, found in zip(batch.column("key").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs").to_pylist(), strict=True):
-            for r in found:
-                if not r["crowded"]:
-                    for name, v in zip(out, (r["anchor"], text[r["low"] : r["high"] + LENGTH], key, r["low"]), strict=True):
-                        out[name].append(v)
+        row, low, high, anchor = _runs_of(batch, "open")
+        text = batch.column("text").cast(pa.binary()).to_pylist()
+        strings = [text[r][a:b] for r, a, b in zip(row.tolist(), low.tolist(), (high + LENGTH).tolist(), strict=True)]
+        return {"anchor": anchor, "context": strings, "key": batch.column("key").take(pa.array(row)), "low": low}
+
+    rows = map_batches(texts.filter(F.size("open") > 0).select("key", "text", "open"), contexts, "anchor long, context binary, key long, low long")
+    return rows.repartition(_partitions(rows), "anchor").sortWithinPartitions("anchor").mapInArrow(_expand_blocks, "key long, place long")
+
+
+def _narrowed(texts: DataFrame) -> DataFrame:
+    """The ``crowded`` runs cut where the distance to the anchor is a multiple of ``STEP``, as rows like those of ``runs``."""
+
+    def cut(batch: pa.RecordBatch) -> dict:
+        out = {"anchor": [], "context": [], "key": [], "place": []}
+        text, keys = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("key").to_pylist()
+        for r, low, high, anchor in zip(*(x.tolist() for x in _runs_of(batch, "crowded")), strict=True):
+            prefixes = Prefixes(np.frombuffer(text[r][low : high + LENGTH], np.uint8))
+            at = int(np.flatnonzero(prefixes.windows(ANCHOR).view(np.int64) == anchor)[0])  # the anchor, from the first start on
+            last = at  # the distance of the first start is the largest
+            for distance in range(max(at - (high - low), 0) // STEP * STEP, last + 1, STEP):
+                first, end = max(at - distance - STEP + 1, 0), min(at - distance, high - low)
+                if first > end:
+                    continue
+                core, whole = np.array([at - distance, first]), np.array([at - distance + LENGTH - STEP + 1, end + LENGTH])
+                a, c = prefixes.of(core, whole).view(np.int64).tolist()
+                for name, v in zip(out, (a ^ distance, c, keys[r], low + first << 32 | low + end), strict=True):
+                    out[name].append(v)
         return out
 
+    return map_batches(texts, cut, "anchor long, context long, key long, place long")
+
+
+def _single(texts: DataFrame) -> DataFrame:
+    """The repeated ones among the strings of the ``crowded`` runs, each by itself."""
+
     def strings(batch: pa.RecordBatch) -> dict:
-        out = {"a": [], "b": [], "key": [], "low": []}
-        for key, text, found in zip(batch.column("key").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("runs").to_pylist(), strict=True):
-            for r in found:
-                if r["crowded"]:
-                    for start in range(r["low"], r["high"] + 1):
-                        digest = hashlib.blake2b(text[start : start + LENGTH], digest_size=16).digest()
-                        for name, v in zip(out, (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), key, start), strict=True):
-                            out[name].append(v)
+        out = {"a": [], "b": [], "key": [], "place": []}
+        text, keys = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("key").to_pylist()
+        for r, low, high, _ in zip(*(x.tolist() for x in _runs_of(batch, "crowded")), strict=True):
+            for start in range(low, high + 1):
+                digest = hashlib.blake2b(text[r][start : start + LENGTH], digest_size=16).digest()
+                for name, v in zip(out, (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), keys[r], start << 32 | start), strict=True):
+                    out[name].append(v)
         return out
 
-    whole = map_batches(some, contexts, "anchor long, context binary, key long, low int").repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_expand_blocks, "key long, low int, high int")
-    crowded = map_batches(some.filter(F.exists("runs", lambda r: r["crowded"])), strings, "a long, b long, key long, low int")
-    first = crowded.groupBy("a", "b").agg(F.min(F.struct("key", "low")).alias("first"))
-    later = crowded.join(first, ["a", "b"]).filter(F.struct("key", "low") != F.col("first")).select("key", "low", F.col("low").alias("high"))
-    return whole.union(later)
+    rows = map_batches(texts.filter(F.size("crowded") > 0).select("key", "text", "crowded"), strings, "a long, b long, key long, place long")
+    first = rows.groupBy("a", "b").agg(F.min(F.struct("key", "place")).alias("first"))
+    return rows.join(first, ["a", "b"]).filter(F.struct("key", "place") != F.col("first")).select("key", "place")
 
 
-def removed_spans(found: list[tuple[int, int]], length: int = LENGTH) -> list[tuple[int, int]]:
-    """Maximal byte spans that strings starting in the given runs cover."""
-    out: list[list[int]] = []
-    for low, high in sorted(found):
-        if out and low <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], high + length)
-        else:
-            out.append([low, high + length])
-    return [(a, b) for a, b in out]
+def _expanded(work: DataFrame) -> DataFrame:
+    """key and place of the repeated runs in contexts that differ."""
+    crowded = work.filter(F.size("crowded") > 0).select("key", "text", "crowded")
+    found = _streamed(_narrowed(crowded))
+    again = crowded.select("key", "text").join(_lists(found).hint("shuffle_hash"), "key")
+    return _blocks(work).union(found.filter("anchor IS NULL").select("key", "place")).union(_blocks(again)).union(_single(again))
+
+
+def removed_spans(places: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal byte spans that strings starting in the given runs cover."""
+    places = np.sort(places)
+    low, end = places >> 32, np.maximum.accumulate((places & 0xFFFFFFFF) + length)
+    new = np.ones(len(low), bool)
+    new[1:] = low[1:] > end[:-1]
+    first = np.flatnonzero(new)
+    return low[first], end[np.append(first[1:], len(low))[: len(first)] - 1]
 
 
 def _cut(docs: DataFrame) -> tuple[DataFrame, bool]:
     """key, doc_id, text_hash, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes; null where nothing was cut)."""
     work, unique = _work(docs)
-    more = _by_document(_expanded(work), "more")
-    joined = work.join(more.hint("shuffle_hash"), "key", "left").select("key", "doc_id", "text", F.filter("runs", lambda r: r["anchor"].isNull()).alias("runs"), "more", "text_hash", "n_bytes", "whole_sha256")
+    more = _expanded(work).groupBy("key").agg(F.collect_list("place").alias("more"))
+    none = F.array().cast("array<bigint>")
+    places = F.concat(F.coalesce("done", none), F.coalesce("more", none)).alias("places")
+    joined = work.join(more.hint("shuffle_hash"), "key", "left").select("key", "doc_id", "text", places, "text_hash", "n_bytes", "whole_sha256")
 
     def cut(batch: pa.RecordBatch) -> dict:
         out = {"n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
-        columns = (batch.column(c).to_pylist() for c in ("runs", "more", "whole_sha256"))
-        for text, repeated, more_, digest in zip(batch.column("text").cast(pa.binary()).to_pylist(), *columns, strict=True):
-            spans = removed_spans([(r["low"], r["high"]) for r in [*(repeated or ()), *(more_ or ())]])
+        lists, offsets = batch.column("places").flatten().to_numpy(), batch.column("places").offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        for i, (text, digest) in enumerate(zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("whole_sha256").to_pylist(), strict=True)):
+            starts, ends = removed_spans(lists[offsets[i] : offsets[i + 1]])
             kept = None
             if text is not None:
-                bounds = [0, *(x for s in spans for x in s), len(text)]
-                kept = b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2], strict=True))
+                kept = b"".join(text[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(text)], strict=True))
                 digest = hashlib.sha256(kept).hexdigest()
-            for name, v in zip(out, (sum(b - a for a, b in spans), len(spans), digest, kept if spans else None), strict=True):
+            for name, v in zip(out, (int((ends - starts).sum()), len(starts), digest, kept if len(starts) else None), strict=True):
                 out[name].append(v)
         return out | {n: batch.column(n) for n in ("key", "doc_id", "text_hash", "n_bytes")}
 

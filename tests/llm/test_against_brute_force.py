@@ -179,8 +179,9 @@ def test_suffixes_of_crowded_and_periodic_texts(documents, prose, monkeypatch):
     docs = [(i, prose(10 + i, 20) + passage + prose(50 + i, 20)) for i in range(25)] + [(30, "ab" * 400), (31, "x" + "ab" * 90), (32, "z" * 350), (33, passage[:99])]
     want = brute_suffix([(i, t.encode()) for i, t in docs])
     assert suffix_rows(suffix_dedup.find(documents(docs)).collect()) == want
-    monkeypatch.setattr(suffix_dedup, "GROUP", 3)  # anchors with more contexts go by hash
-    assert suffix_rows(suffix_dedup.find(documents(docs)).collect()) == want
+    for group in (8, 3, 0):  # anchors with more contexts are cut into short runs, and at last into single strings
+        monkeypatch.setattr(suffix_dedup, "GROUP", group)
+        assert suffix_rows(suffix_dedup.find(documents(docs)).collect()) == want
 
 
 def test_interval_expansion():
