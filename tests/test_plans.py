@@ -1,6 +1,7 @@
 """The plans are the ones meant: where data is shuffled, broadcast and scanned."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import queries, standins
 from tapelake.operators import profile
@@ -105,7 +106,6 @@ def test_a_duplicate_index_key_stops_the_load(spark, layers, tmp_path):
 
 
 def test_the_job_reads_each_archive_once_and_writes_the_report(spark, tmp_path):
-    from catalog import files
     from tapelake import job
     from tapelake.sources import tapes
 
@@ -116,9 +116,9 @@ def test_the_job_reads_each_archive_once_and_writes_the_report(spark, tmp_path):
     for name in job.BLOCKS:
         assert spark.read.parquet(f"{tmp_path}/lake/profile/{name}").count() > 0
     status = {r.status for r in spark.read.parquet(f"{tmp_path}/lake/status").collect()}
-    assert status == {"loaded"} and files is not None
+    assert status == {"loaded"}
     bronze = spark.read.parquet(f"{tmp_path}/lake/bronze/fre")
     members = lakehouse.fre_members(bronze).where("kind = 'performance'")
-    orig = spark.read.parquet(f"{tmp_path}/lake/bronze/fre").select(tapes.quarter_of_path(bronze["member"]).alias("quarter"), *tapes.FRE_FIELDS)
+    orig = bronze.select(tapes.quarter_of_path(F.col("member")).alias("quarter"), *tapes.FRE_FIELDS)
     text = plan(lakehouse.fre_silver(orig, orig, lakehouse.member_quarters(members)))
     assert "MapInArrow" not in text  # silver comes from bronze, not from the archives
