@@ -24,6 +24,7 @@ judged AS (
     OR (len([x for x in lw if suffix(x, '!!')]) >= 2 AND len([x for x in lw if suffix(x, '!!')]) > len(lw) * {quality_rules.MAX_SHOUTS})
     OR (len([x for x in lw if x IN ({", ".join(f"'{s}'" for s in quality_rules.SEPARATORS)})]) >= 2
         AND len([x for x in lw if x IN ({", ".join(f"'{s}'" for s in quality_rules.SEPARATORS)})]) > len(lw) * {quality_rules.MAX_SEPARATORS})
+    OR (len(lw) >= {quality_rules.MIN_WORDS} AND len([i for i in range(2, len(lw) + 1) if lw[i] = lw[i - 1]]) > len(lw) * {quality_rules.MAX_STUTTER})
     OR (len(lw) < {quality_rules.MIN_OPEN_WORDS} AND NOT regexp_matches(t, '{quality_rules._SENTENCE_END.replace("'", "''")}'))
     OR (len(lw) <= {quality_rules.MAX_STOCK_WORDS} AND regexp_matches(t, '{quality_rules._STOCK}'))
   ) AS fails FROM measured

@@ -1,7 +1,8 @@
 """Line-first cleaning with DataFrame functions only.
 
 Each line is held against rules: punctuation (drowned in symbols or exclamation marks, or a fragment that ends without a
-sentence end), navigation (a menu: words between separators) and boilerplate (a short line with a stock phrase). Lines
+sentence end), navigation (a menu: words between separators) and boilerplate (a short line with a stock phrase, or a
+longer one whose words are mostly the one before once more). Lines
 that fail are removed; a document that loses too large a share of its characters, or keeps too few words, is rejected.
 Word statistics of the whole text come first and can reject it as well. Everything happens within a row, so the operator
 is a map: no shuffle.
@@ -28,6 +29,8 @@ MAX_LOST = 0.5
 #: Share of a line's characters that may be symbols, of its words that may end in two exclamation marks, and of its words
 #: that may be separators.
 MAX_SYMBOLS, MAX_SHOUTS, MAX_SEPARATORS = 0.1, 0.3, 0.3
+#: Share of the words of a longer line that may equal the word before.
+MAX_STUTTER = 0.3
 #: A line of fewer words needs a sentence end; a line of more is not taken for a stock phrase.
 MIN_OPEN_WORDS, MAX_STOCK_WORDS = 4, 25
 
@@ -65,6 +68,7 @@ def line_fails(line: Column) -> Column:
             (_count(trimmed, _SYMBOLS) > n * MAX_SYMBOLS)
             | ((shouts >= 2) & (shouts > n_words * MAX_SHOUTS))
             | ((menu >= 2) & (menu > n_words * MAX_SEPARATORS))
+            | ((n_words >= MIN_WORDS) & (F.size(F.filter(line_words, lambda w, i: w == F.get(line_words, i - 1))) > n_words * MAX_STUTTER))
             | ((n_words < MIN_OPEN_WORDS) & ~trimmed.rlike(_SENTENCE_END))
             | ((n_words <= MAX_STOCK_WORDS) & trimmed.rlike(_STOCK))
         )
