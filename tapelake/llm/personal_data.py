@@ -151,13 +151,13 @@ def scored(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The seeds, which may stand elsewhere too, and the instances that trusted patterns discover."""
     graph = written(graph, "pattern-graph")
     instances = graph.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
-    for k in range(rounds):
+    for _ in range(rounds):
         weighed = graph.join(instances, "instance")
         patterns = weighed.groupBy("pattern").agg(F.sum("score").alias("total"), F.count("*").alias("n")).withColumn("trust", F.col("total") / (F.col("n") + DAMPING))
         support = F.max((F.col("trust") >= TRUSTED) & (F.col("n") >= SUPPORT)).alias("supported")
         instances = graph.join(patterns, "pattern").groupBy("instance").agg(F.max("seed").alias("seed"), F.avg("trust").alias("mean"), support)
         instances = instances.select("instance", F.when(F.col("seed") == 1, 1.0).otherwise(F.col("mean")).alias("score"), "seed", "supported")
-        instances = written(instances, "instance-scores") if k == rounds - 1 else instances.checkpoint()
+        instances = written(instances, "instance-scores")
     return instances.filter((F.col("seed") == 1) | (F.col("score") >= THRESHOLD) & F.col("supported")).select("instance")
 
 
