@@ -38,7 +38,7 @@ from tapelake.llm.dom import Page, read
 SAMPLE_PAGES = 400
 SAMPLE_NODES = 100_000
 RESET = 3
-SWITCH_COST = 2.0
+SWITCH_COST = 4.0
 MOST_LOGIT = 4.0
 
 TAGS = [
