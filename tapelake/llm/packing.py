@@ -34,7 +34,29 @@ TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 2_000_000
 STEP_TOKENS = 32_768
 END_ID = 1
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 750_000
+
+
+class Recent:
+    """A mapping in two generations: what is used goes to the new one, and when that is full the old one is forgotten."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def missing(self, keys: set) -> set:
+        """The keys that neither generation has; those of the old one are in the new one afterwards."""
+        out = set()
+        for key in keys:
+            if key not in self.now:
+                if (value := self.before.get(key)) is None:
+                    out.add(key)
+                else:
+                    self.now[key] = value
+        return out
+
+    def turn(self) -> None:
+        if len(self.now) > self.most:
+            self.now, self.before = {}, self.now
 
 
 class WordIds:
@@ -54,9 +76,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core of its own and no more
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cached = cached
-        self.known: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.known, self.stems = Recent(cached), Recent(cached)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_run = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_run[[i for token, i in vocabulary.items() if token.endswith(self.END_MARK)]] = True
@@ -81,37 +101,40 @@ class WordIds:
             stem = text[:-1] if text[-1] in ".," and text[:-1].isalpha() else text
             names.append(stem.lower() if text.isascii() else stem)
             tails.append(self.tails[text[-1]] if len(stem) < len(text) else b"")
-        missing = {stem for stem in names if stem not in stems}
+        missing = stems.missing(set(names))
         runs = [stem for stem in missing if stem.isalpha()]
         for i in range(0, len(runs), 2000):
-            stems.update(zip(runs[i : i + 2000], self._runs(runs[i : i + 2000]), strict=True))
+            stems.now.update(zip(runs[i : i + 2000], self._runs(runs[i : i + 2000]), strict=True))
         others = [stem for stem in missing if not stem.isalpha()]
-        stems.update(zip(others, self._each(others), strict=True))
-        self.known.update(zip(order, map(operator.add, map(stems.__getitem__, names), tails), strict=True))
+        stems.now.update(zip(others, self._each(others), strict=True))
+        self.known.now.update(zip(order, map(operator.add, map(stems.now.__getitem__, names), tails), strict=True))
+        stems.turn()
+
+    def rest(self) -> None:
+        """A worker that waits for its next task, perhaps beside other work, holds no words."""
+        self.known, self.stems = Recent(self.known.most), Recent(self.stems.most)
+        pa.default_memory_pool().release_unused()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        if len(self.known) > self.cached:
-            self.known = {}
-        if len(self.stems) > self.cached:
-            self.stems = {}
         split = [(t or b"").split() for t in texts]
-        ids = [[*map(self.known.get, words)] for words in split]
+        ids = [[*map(self.known.now.get, words)] for words in split]
         holes = [[i for i, x in enumerate(row) if x is None] if None in row else () for row in ids]
-        self._learn({words[i] for words, at in zip(split, holes, strict=True) for i in at})
+        self._learn(self.known.missing({words[i] for words, at in zip(split, holes, strict=True) for i in at}))
         for words, row, at in zip(split, ids, holes, strict=True):
             for i in at:
-                row[i] = self.known[words[i]]
+                row[i] = self.known.now[words[i]]
+        self.known.turn()
         return [b"".join(row) for row in ids]
 
 
-_ENCODERS: dict[str, WordIds] = {}
+_ENCODERS: dict[tuple[str, int], WordIds] = {}
 
 
-def encoder(path: str) -> WordIds:
-    """One per Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
+def encoder(path: str, cached: int = CACHED_WORDS) -> WordIds:
+    """One per Python worker, file and size."""
+    if (path, cached) not in _ENCODERS:
+        _ENCODERS[path, cached] = WordIds(path, cached)
+    return _ENCODERS[path, cached]
 
 
 class Packer:
@@ -203,11 +226,12 @@ SCHEMA = (
 )
 
 
-def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_TOKENS, step_tokens: int = STEP_TOKENS, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_TOKENS, step_tokens: int = STEP_TOKENS, end_id: int = END_ID, with_ids: bool = True, cached_words: int = CACHED_WORDS, keep_words: bool = True) -> DataFrame:
     """One row per piece of a document: where it lies in which sequence, with its ids if asked for.
 
     window: the tier of the sequence, or its own length if it is a task's last and shorter than all tiers. step_id: the step
-    group. sequence_id and step_id hold the partition in their upper bits.
+    group. sequence_id and step_id hold the partition in their upper bits. ``cached_words``: the words of a generation of a
+    worker's cache, about 300 bytes each; ``keep_words``: whether a worker keeps them for its next task.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -219,7 +243,7 @@ def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_T
         base = TaskContext.get().partitionId() << 33
         packer, held = Packer(tiers), {}  # document number -> [doc_id, ids, tokens not given out yet]
         count = {"document": 0, "sequence": 0, "step": 0}
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, cached_words)
 
         def rows(windows):
             groups = _balanced(windows, step_tokens)
@@ -263,5 +287,7 @@ def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_T
                     windows, fresh_tokens = [], 0
         windows.extend(packer.pack(last=True))
         yield from rows(windows)
+        if not keep_words:
+            encode.rest()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
