@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +88,8 @@ def features(page: Page) -> np.ndarray:
         below[parents[i]] += below[i]
     chars, links, blocks, stops, inputs, elements, paragraphs, items = below.T
     siblings = np.array([len(nodes[p].children) for p in parents], float)
-    alike = np.array([sum(nodes[c].tag == x.tag for c in nodes[p].children) for x, p in zip(nodes, parents, strict=True)], float) if n < 2000 else siblings
+    tags = Counter((x.parent, x.tag) for x in nodes)
+    alike = np.array([tags[p, x.tag] for x, p in zip(nodes, parents.tolist(), strict=True)], float)
     total = max(chars[0], 1)
     here = np.cumsum(own[:, 0]) - own[:, 0]
     shape = np.stack(

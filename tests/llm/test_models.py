@@ -67,3 +67,20 @@ def test_a_page_without_article_element(spark):
         "Second one, after the first was not closed, and it is long enough too. It has an end.",
         "Yes.",
     ]
+
+
+def test_large_pages_are_read_like_ordinary_ones(spark):
+    model = html_extract.fit(spark.read.parquet(f"{SF}/pages.parquet"))
+    links = "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(300))
+    body = "".join(f"<h2>Part {i}</h2><p>Here is a sentence of part {i}, long enough to be read. It has an end.</p>" for i in range(200))
+    page = '<body><div class="x1"><b>Menu</b><ul>{}</ul><p>All items</p></div><div class="wrap"><div><h1>The title</h1>{}</div><div>{}</div></div></body>'
+    small, large = (page.format(links, body, "<div></div>" * n) for n in (1200, 1400))
+    a, b = (html_extract.read(x) for x in (small, large))
+    assert len(a.nodes) < 2000 < len(b.nodes)
+    place = html_extract.features(b).shape[1] - len(html_extract._SHAPE) + html_extract._SHAPE.index("alike")
+    children = [b.nodes[max(x.parent, 0)].children for x in b.nodes]
+    want = [sum(b.nodes[c].tag == x.tag for c in own) / max(len(own), 1) for x, own in zip(b.nodes, children, strict=True)]
+    assert np.allclose(html_extract.features(b)[:, place], want)
+    rows = spark.createDataFrame([(1, "u", small), (2, "u", large)], "page_id long, url string, html string")
+    first, second = (r["text"] for r in html_extract.extract(rows, model).orderBy("page_id").collect())
+    assert first == second and first.count("sentence of part") == 200
