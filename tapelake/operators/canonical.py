@@ -19,14 +19,14 @@ def _columns(agency: str, application: str) -> tuple[list[Column], list[Column]]
     return [F.lit(agency).alias("agency"), *typed], [F.col("agency"), *finished]
 
 
-def canonical(tape: DataFrame, agency: str) -> DataFrame:
+def canonical(tape: DataFrame, agency: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Read one agency's positional columns into the canonical table: cast and map first, then scrub placeholders.
 
     Two selects on purpose: the scrub tests each value and returns it, and Catalyst keeps a projection whose result
-    is used twice apart, so the cast itself runs once per value and the generated code stays small.
+    is used twice apart, so the cast itself runs once per value and the generated code stays small. ``keep``: columns of the tape that follow the table's as they are.
     """
     typed, finished = _columns(agency, tape.sparkSession.sparkContext.applicationId)
-    return tape.select(*typed).select(*finished)
+    return tape.select(*typed, *keep).select(*finished, *keep)
 
 
 def unify(fnm: DataFrame, fre: DataFrame) -> DataFrame:

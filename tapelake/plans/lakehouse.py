@@ -28,7 +28,7 @@ def fre_silver(orig: DataFrame, perf: DataFrame, perf_quarters: DataFrame | None
     """Joined pairs of the quarters that have both files, tagged with their agency.
 
     ``perf_quarters`` lists the quarters with a performance file; taken from file or member names it saves a pass over
-    the performance rows.
+    the performance rows. Fields past the layout are in ``beyond`` (origination) and ``beyond_1`` (performance).
     """
     quarters = perf if perf_quarters is None else perf_quarters
     return join_performance(tapes.paired(orig, quarters), perf).withColumn("agency", F.lit(FRE_SILVER))
@@ -39,7 +39,7 @@ def fnm_silver(tape: DataFrame) -> DataFrame:
 
 
 def read_fre_files(spark: SparkSession, folder: str, width: int = tapes.FRE_WIDTH) -> tuple[DataFrame, DataFrame]:
-    """Unpacked origination and performance files under a folder, each with its quarter."""
+    """Unpacked origination and performance files under a folder, each with its quarter and ``beyond``."""
     orig = tapes.with_quarter(tapes.read_tape(spark, f"{folder}/{tapes.ORIG_FILES}", width))
     return orig, tapes.with_quarter(tapes.read_tape(spark, f"{folder}/{tapes.PERF_FILES}", width))
 
@@ -47,7 +47,7 @@ def read_fre_files(spark: SparkSession, folder: str, width: int = tapes.FRE_WIDT
 def read_fre_archives(entries: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Origination and performance rows of the archives' pairs, each with its quarter, and ``fre_members``.
 
-    Every archive is read once, into a bronze table at ``path``.
+    Every archive is read once, into a bronze table at ``path``. Rows end in ``beyond``, the fields past the layout.
     """
     bronze = archives.write_bronze(entries, path, tapes.FRE_WIDTH, tapes.QUARTER_PATTERN)
     members = fre_members(bronze)
@@ -57,7 +57,7 @@ def read_fre_archives(entries: DataFrame, path: str) -> tuple[DataFrame, DataFra
         rows = archives.rows_of(bronze, members.where((F.col("status") == "read") & (F.col("kind") == kind)))
         return rows.select(quarter.alias("quarter"), *tapes.FRE_FIELDS, "beyond")
 
-    return read("origination").drop("beyond"), read("performance").drop("beyond"), members
+    return read("origination"), read("performance"), members
 
 
 def fre_members(bronze: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def write_fre_silver(
     spark: SparkSession, orig: DataFrame, perf: DataFrame, path: str, perf_quarters: DataFrame | None = None
 ) -> DataFrame:
     write_layer(fre_silver(orig, perf, perf_quarters), path, SNAPPY, ("agency", "quarter"), rebalance=True)
-    return tapes.read_layer(spark, path)
+    return tapes.read_layer(spark, path, merge=True)
 
 
 def write_fnm_silver(spark: SparkSession, tape: DataFrame, path: str) -> DataFrame:
@@ -124,7 +124,7 @@ def write_fnm_silver(spark: SparkSession, tape: DataFrame, path: str) -> DataFra
     if "archive" not in tape.columns:
         tape = tape.withColumn("archive", F.lit(UNPACKED))
     write_layer(fnm_silver(tape), path, SNAPPY, ("agency", "archive"), rebalance=True)
-    return tapes.read_layer(spark, path)
+    return tapes.read_layer(spark, path, merge=True)
 
 
 def ingest_status(orig_quarters: DataFrame, silver: DataFrame, members: DataFrame | None = None) -> DataFrame:

@@ -60,14 +60,24 @@ def tape_width(spark: SparkSession, paths: str | list[str], sep: str = SEPARATOR
 def read_tape(spark: SparkSession, paths: str | list[str], width: int | None = None, sep: str = SEPARATOR) -> DataFrame:
     """Tape files (a path, a glob or several) with positional string columns.
 
-    Without ``width`` the widest line decides, so no field is lost; shorter lines end in NULLs. With a ``width``, the schema
-    is a layout's: ``too_wide`` tells which lines have more. It is explicit either way, so Spark makes no inference pass
-    and parses only the fields a query uses.
+    Without ``width`` the widest line decides, so no field is lost; shorter lines end in NULLs. With a ``width``, the columns
+    are a layout's and ``beyond``, the fields past it (NULL if there are none). Spark makes no inference pass either way.
     """
-    names = field_names(width or tape_width(spark, paths, sep))
+    if width:
+        return layout_fields(spark.read.text(paths), width, sep)
+    names = field_names(tape_width(spark, paths, sep))
     return spark.read.schema(string_schema(names)).options(**csv_options(sep)).csv(paths)
 
 
+def layout_fields(lines: DataFrame, width: int, sep: str = SEPARATOR) -> DataFrame:
+    """Lines (``value``), as a table or a stream, -> a layout's columns and ``beyond``, as archives are parsed; no blank lines."""
+    filled = lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
+    split = filled.select(F.split("value", F.lit("\\" + sep), -1).alias("fields"))
+    columns = [F.nullif(F.get("fields", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(field_names(width))]
+    more = F.transform(F.slice("fields", F.lit(width + 1), F.greatest(F.size("fields") - width, F.lit(0))), lambda x: F.nullif(x, F.lit("")))
+    return split.select(*columns, F.when(F.size("fields") > width, more).alias("beyond"))
+
+
 def too_wide(spark: SparkSession, paths: str | list[str], width: int, sep: str = SEPARATOR) -> DataFrame:
     """``path, line, fields`` of the lines with more fields than a layout has."""
     fields = F.size(F.split("value", F.lit("\\" + sep), -1))
@@ -90,9 +100,9 @@ def read_index_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).csv(paths, header=True)
 
 
-def read_layer(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Parquet of any layer: a directory, a file or a glob."""
-    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+def read_layer(spark: SparkSession, paths: str | list[str], merge: bool = False) -> DataFrame:
+    """Parquet of any layer: a directory, a file or a glob. With ``merge``, the columns of all its files, not of one."""
+    return spark.read.option("mergeSchema", merge).parquet(*([paths] if isinstance(paths, str) else paths))
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:

@@ -12,17 +12,19 @@ from pyspark.sql.streaming import StreamingQuery
 from tapelake.operators.canonical import canonical
 from tapelake.operators.contract import FNM
 from tapelake.operators.valuation import mark_to_market
-from tapelake.sources.tapes import FNM_WIDTH, csv_options, field_names, string_schema
+from tapelake.sources.tapes import FNM_WIDTH, layout_fields
 
 
 def fnm_arrivals(spark: SparkSession, folder: str, width: int = FNM_WIDTH, files_per_batch: int = 1000) -> DataFrame:
-    """Single-file tapes under ``folder`` as a stream of positional string columns."""
-    reader = spark.readStream.schema(string_schema(field_names(width))).options(**csv_options())
-    return reader.option("maxFilesPerTrigger", files_per_batch).csv(folder)
+    """Single-file tapes under ``folder`` as a stream of positional string columns and ``beyond``, the fields past the layout."""
+    return layout_fields(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder), width)
 
 
 def append_marked(arrivals: DataFrame, index: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append the marked loan-months of everything available to Parquet at ``path``, then stop."""
-    marked = mark_to_market(canonical(arrivals, FNM), index)
+    """Append the marked loan-months of everything available to Parquet at ``path``, then stop.
+
+    There is no silver layer on this way, so the rows keep ``beyond``.
+    """
+    marked = mark_to_market(canonical(arrivals, FNM, keep=("beyond",) if "beyond" in arrivals.columns else ()), index)
     writer = marked.writeStream.format("parquet").option("checkpointLocation", checkpoint)
     return writer.outputMode("append").trigger(availableNow=True).start(path)

@@ -54,6 +54,26 @@ def test_wider_lines_lose_nothing(spark, folder):
     assert [tuple(r) for r in got] == [("a", "1", None), ("b", "2", ["3", "more"]), ("c", None, None)]
 
 
+def test_fields_past_the_layout_reach_fre_silver(spark, folder):
+    names = ("historical_data_2021Q1.txt", "historical_data_time_2021Q1.txt")
+    members = dict(zip(names, (orig_line("A") + "|x||y\n" + orig_line("B"), perf_line("A", "202101") + "\n\n" + perf_line("A", "202102") + "|z\r\n"), strict=True))
+    (folder / "zip").mkdir()
+    nested_zip(folder / "zip/year.zip", members)
+    for name, text in members.items():
+        (folder / name).write_bytes(text.encode())
+    want = {("A", "202101", ("x", None, "y"), None), ("A", "202102", ("x", None, "y"), ("z",)), ("B", None, None, None)}
+    for way, (orig, perf, *_) in {
+        "archives": lakehouse.read_fre_archives(archives.archive_entries(spark, str(folder / "zip")), str(folder / "bronze")),
+        "files": lakehouse.read_fre_files(spark, str(folder)),
+    }.items():
+        path = str(folder / way)
+        earlier = orig.select(F.lit("freddie").alias("agency"), F.lit("1999Q1").alias("quarter"), *tapes.FRE_FIELDS)
+        sinks.write_layer(earlier, path, sinks.SNAPPY, ("agency", "quarter"))  # a load of before there were such columns
+        silver = lakehouse.write_fre_silver(spark, orig, perf, path).where("quarter = '2021Q1'")
+        got = [(r.column19, r.column01_1, r.beyond and tuple(r.beyond), r.beyond_1 and tuple(r.beyond_1)) for r in silver.collect()]
+        assert len(got) == 3 and set(got) == want
+
+
 def test_field_names():
     assert tapes.FRE_FIELDS[0] == "column00" and tapes.FRE_FIELDS[-1] == "column31"
     assert tapes.FNM_FIELDS[0] == "column000" and tapes.FNM_FIELDS[-1] == "column109"

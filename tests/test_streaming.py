@@ -26,3 +26,13 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     (landing / "b.csv").write_text(line("B", "110"))
     assert run() == [("A", 50.0), ("B", 100.0)]
     assert run() == [("A", 50.0), ("B", 100.0)]
+
+
+def test_fields_past_the_layout_are_kept(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    index = spark.createDataFrame([], "GEO_Type string, GEO_Name string, msa_code string, hpi_date date, index_nsa double, index_sa double")
+    (landing / "a.csv").write_text(line("A", "55") + line("B", "55").strip() + "|new||field\n")
+    append_marked(fnm_arrivals(spark, str(landing)), index, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(60)
+    got = {r.loan_id: r.beyond for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"A": None, "B": ["new", None, "field"]}
