@@ -30,9 +30,9 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their sequences."""
+    """The pieces of all documents in their sequences, with their token ids."""
     # Workers that wait beside other stages hold no words.
-    return packing.pack(docs, tokenizer("word_bpe_49k.json"), with_ids=False, cached_words=200_000, keep_words=False).drop("ids")
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"), cached_words=200_000, keep_words=False)
 
 
 STAGES = [

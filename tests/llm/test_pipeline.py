@@ -36,3 +36,14 @@ def test_planted_cases(spark, documents, prose, tmp_path):
         pieces = sorted(k[1] for k in got if k[0] == d)
         assert sum(got[d, s]["length"] for s in pieces) * 4 == len(whole)
         assert all(got[d, s]["ids_crc32"] == zlib.crc32(whole[4 * s : 4 * (s + got[d, s]["length"])]) for s in pieces)
+
+
+def test_the_last_stage_gives_token_ids(spark, documents, prose):
+    import corpus_pipeline
+    from tapelake.llm.packing import WordIds
+
+    texts = {1: prose(1, 900), 2: prose(2, 40), 3: ""}
+    rows = corpus_pipeline.packed(spark, documents(list(texts.items())), "").orderBy("doc_id", "start").collect()
+    ids = WordIds(P.path("word_bpe_49k.json")).encode([t.encode() for t in texts.values()])
+    for d, x in zip(texts, ids, strict=True):
+        assert [i for r in rows if r["doc_id"] == d for i in r["ids"]] == [*np.frombuffer(x, "<u4"), 1]
