@@ -33,7 +33,7 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 KINDS = ["email", "ip", "card", "phone", "id"]  # "id": what the method finds of other shapes
 CANDIDATE = (
     r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)[\x20.-]?)?[0-9]{2,4}(?:[\x20.-][0-9]{2,4}){1,3}(?![0-9])"
-    r"|(?<![A-Za-z0-9])(?=[A-Za-z._@%+/-]{0,64}[0-9])[A-Za-z0-9][A-Za-z0-9._@%+/-]{6,}[A-Za-z0-9](?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])(?=[A-Za-z0-9])(?=[A-Za-z._@%+/-]*+[0-9])[A-Za-z0-9][A-Za-z0-9._@%+/-]{6,}[A-Za-z0-9](?![A-Za-z0-9])"
 )
 MIN_DIGITS = 4
 CONTEXT = 60

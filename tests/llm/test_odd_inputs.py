@@ -83,3 +83,9 @@ def test_pages(spark):
     assert {r["page_id"]: r["text"] for r in got if r["page_id"] in (1, 2, 3)} == {1: "", 2: "", 3: ""}
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert html_extract.extract(spark.createDataFrame([], kind)).collect() == []
+
+
+def test_digits_may_come_late_in_an_identifier(spark, documents):
+    plain, parted = "q" * 80 + "1234", "x" * 70 + "-" + "y" * 20 + "5678"
+    got = personal_data.occurrences(documents([(1, f"the key {plain} and {parted} end")])).first()
+    assert [c["value"] for c in got["candidates"]] == [plain, parted]
