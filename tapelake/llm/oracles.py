@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tapelake.llm import chat_format, quality_rules
+from tapelake.llm import chat_format, hard_negatives, line_dedup, quality_rules
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _SPACES = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -75,4 +75,37 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hit USING (k) LEFT JOIN found USING (k)
 """
 
-ORACLE_SQL = {"op2_quality_rules": OP2, "op5_chat_format": OP5, "op6_decontaminate": OP6}
+OP12 = f"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor({hard_negatives.SCALE} * x::DOUBLE) for x in embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM r AS a JOIN r AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {hard_negatives.TOP}),
+n AS (
+  SELECT anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+    s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND {hard_negatives.LEAST_PERCENT} * p.score <= 100 * s.score AND s.score <= p.score
+)
+SELECT * FROM n WHERE rank <= {hard_negatives.TOP}
+"""
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+  SELECT k, doc_id, i, line, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT k, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM d)
+),
+crowded AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= {line_dedup.MIN_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INTEGER) >= {line_dedup.MIN_DOCUMENTS}
+),
+judged AS (SELECT k, i, line, keeper IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS lost FROM lines LEFT JOIN crowded USING (key)),
+left_over AS (SELECT k, count(*) FILTER (lost) AS n_dropped, string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost) AS kept FROM judged GROUP BY k)
+SELECT doc_id, len(l)::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM d JOIN left_over USING (k)
+"""
+
+ORACLE_SQL = {"op2_quality_rules": OP2, "op5_chat_format": OP5, "op6_decontaminate": OP6, "op12_hard_negatives": OP12, "op13_line_dedup": OP13}

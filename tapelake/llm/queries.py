@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import chat_format, decontaminate, html_extract, near_duplicates, packing, personal_data, quality_gam, quality_rules, suffix_dedup, token_counts
-from tapelake.llm.common import table
+from tapelake.llm import (
+    chat_format,
+    decontaminate,
+    hard_negatives,
+    html_extract,
+    line_dedup,
+    near_duplicates,
+    packing,
+    personal_data,
+    quality_gam,
+    quality_rules,
+    runs,
+    suffix_dedup,
+    token_counts,
+)
+from tapelake.llm.common import sha256_hex, table
 from tapelake.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -59,6 +76,33 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def planted_order(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Which of a document's ``n`` words stands at each place: a tenth of the documents repeat a stretch up to their end."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    order = np.arange(n)
+    order[a:] = a + (order[a:] - a) % p
+    return order
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(table(spark, sf_dir, "documents"), edit=planted_order)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, relabelled=label)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.coalesce("kept", F.lit(""))).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op2_quality_rules": op2_quality_rules,
@@ -70,4 +114,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_html_extract": op10_html_extract,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_line_dedup": op13_line_dedup,
 }
