@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapelake.llm import hashing
 from tapelake.session import shared_folder
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -54,6 +58,33 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def _trim() -> None:
+    """Has the C library give its free memory back, where it can."""
+    import ctypes
+
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def resting(function: Callable) -> Callable:
+    """A function over batches after whose last one the worker gives back what it no longer uses.
+
+    Spark keeps Python workers for later tasks; meanwhile they stand beside the heap and beside workers of other stages.
+    """
+
+    @functools.wraps(function)
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            hashing.forget()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            _trim()
+
+    return run
+
+
 def map_batches(df: DataFrame, function: Callable, schema: str, text: str = "text", most_bytes: int = 2_000_000) -> DataFrame:
     """``function`` gets each slice of the table as a batch and returns a dict of column lists or arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -68,7 +99,7 @@ def map_batches(df: DataFrame, function: Callable, schema: str, text: str = "tex
                 columns = [v.cast(f.type) if isinstance(v := out[f.name], (pa.Array, pa.ChunkedArray)) else pa.array(v, f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(resting(run), schema)
 
 
 def sha256_hex(column: Column) -> Column:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import written
+from tapelake.llm.common import resting, written
 
 TOP = 5
 SCALE = 256
@@ -210,7 +210,7 @@ def _walked(candidates: DataFrame, sent, same: bool) -> DataFrame:
             block()
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in walk.found()], names=["query", "id", "score"])
 
-    return candidates.mapInArrow(run, _FOUND)
+    return candidates.mapInArrow(resting(run), _FOUND)
 
 
 def _best(found: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def _rounds(anchors: DataFrame, middle: np.ndarray) -> list[DataFrame]:
             nearest = _angles(directions, middle).argmin(1) if batch.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest, pa.int64())], names=[*batch.schema.names, "cluster"])
 
-    assigned = anchors.mapInArrow(assign, "id long, label long, vector array<long>, cluster long")
+    assigned = anchors.mapInArrow(resting(assign), "id long, label long, vector array<long>, cluster long")
     fine = written(assigned.withColumn("part", F.pmod(F.xxhash64("id", "label", "vector"), F.lit(1 << 20))), "anchors")
     out: list[DataFrame] = []
 

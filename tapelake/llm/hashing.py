@@ -34,6 +34,11 @@ def powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base][:n]
 
 
+def forget() -> None:
+    """Drops the powers that are kept; they are worked out anew when needed."""
+    _POWERS.clear()
+
+
 class Prefixes:
     """Hashes of any substring of a byte buffer, from one running sum."""
 

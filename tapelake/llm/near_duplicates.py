@@ -12,8 +12,8 @@ candidates. In each bucket the node that meets the most others over all its band
 others; links are verified by exact multiset overlap and joined to classes. Members of one class are never paired again,
 so a large group of copies costs as many comparisons as it has members. In buckets that then still hold several classes
 the pairs of different classes are compared inside a task, in blocks of bounded size: each pair in the first band that it
-shares, by weights, by signature, and by 32-bit hashes of all its shingles. Only pairs that those do not rule out come out,
-at most one for two classes of a block, and are verified like the others.
+shares, by weights, by signature, and then by the exact overlap of all its shingles, so that a pair that comes out, at most
+one for two classes of a block, is a link.
 
 With 24 bands of 4 a pair at the threshold of 0.8 is missed with probability (1 - 0.8^4)^24 = 3e-6, and its signature, of 96
 components, agrees in fewer than 62 with probability 5e-5.
@@ -32,15 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.classes import joined_classes
-from tapelake.llm.common import fresh, map_batches, written
+from tapelake.llm.common import fresh, map_batches, resting, written
 from tapelake.llm.hashing import buffer, mix, shingle_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-#: Components of two signatures that agree at least if the texts are similar; nodes of a bucket that meet at once.
+#: Components of two signatures that agree at least if the texts are similar; nodes and shingles of a bucket that meet at once.
 LEAST_EQUAL = 62
-BLOCK = 2000
+BLOCK, BLOCK_SHINGLES = 2000, 1_000_000
 
 _UNIT = 2.0**-53
 
@@ -177,79 +177,92 @@ def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
 _GROUP = ["bucket", "block_i", "block_j"]
 
 
-def _short_hashes(texts: DataFrame) -> DataFrame:
-    """node and shingles: 32-bit hashes, where the second shingle of a kind counts as another one. None can hide an overlap."""
+def _elements(texts: DataFrame) -> DataFrame:
+    """node and shingles: 64-bit hashes in order, where the second shingle of a kind counts as another one."""
 
     def run(batch: pa.RecordBatch) -> dict:
         data, offsets = buffer(batch.column("text"))
         words, n = word_hashes(data, offsets)
         row, shingle, count = multisets(*shingle_hashes(words, n, SHINGLE))
         again = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        short = (mix(np.repeat(shingle, count) + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+        element = mix(np.repeat(shingle, count) + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         ends = np.searchsorted(np.repeat(row, count), np.arange(len(n) + 1))
-        return {"node": batch.column("node"), "shingles": [short[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]}
+        return {"node": batch.column("node"), "shingles": [np.sort(element[a:b]).tobytes() for a, b in zip(ends, ends[1:], strict=False)]}
 
     return map_batches(texts, run, "node binary, shingles binary")
 
 
-def _plausible(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes of different classes in one bucket that may be similar, enough to join the classes that are.
+def _groups(batches, keys: list[str]):
+    """The rows of each group as a table; batches come in the order of the groups."""
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(k).to_numpy() for k in keys], 1)
+        starts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist()]
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            if waiting and (a or tuple(key[0]) != last):
+                yield pa.Table.from_batches(waiting).combine_chunks()
+                waiting = []
+            waiting.append(batch.slice(a, b - a))
+        last = tuple(key[-1])
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def _similar(group: pa.Table) -> tuple[list, list]:
+    """Pairs of nodes of different classes that are similar; two classes that one pair joins need no second."""
+    _, cls = np.unique(group.column("cls").to_pylist(), return_inverse=True)
+    if cls.max() == 0:
+        return [], []
+    nodes, shingles = group.column("node").to_pylist(), group.column("shingles").to_pylist()
+    n = len(nodes)
+    sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
+    bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(n, -1)
+    weight, block = group.column("weight").to_numpy(), group.column("block").to_numpy()
+    band, across = group.column("band")[0].as_py(), group.column("block_i")[0] != group.column("block_j")[0]
+    left, right = [], []
+    for i in range(n - 1):
+        rest = slice(i + 1, None)
+        low, high = np.minimum(weight[i], weight[rest]), np.maximum(weight[i], weight[rest])
+        fits = (cls[rest] != cls[i]) & (low >= THRESHOLD * high)
+        if across:
+            fits &= block[rest] != block[i]
+        at = np.flatnonzero(fits) + i + 1
+        at = at[(sketch[at] == sketch[i]).sum(1) >= LEAST_EQUAL]
+        at = at[~(bands[at, :band] == bands[i, :band]).any(1)]
+        own = np.frombuffer(shingles[i], np.uint64)
+        for k in at.tolist():
+            if cls[k] != cls[i]:
+                both = int(np.isin(np.frombuffer(shingles[k], np.uint64), own, assume_unique=True).sum())
+                if both >= THRESHOLD * (weight[k] + weight[i] - both):
+                    cls[cls == cls[k]] = cls[i]
+                    left.append(nodes[i])
+                    right.append(nodes[k])
+    return left, right
+
 
-    A large bucket is dealt into blocks; each two of them meet in a group of their own.
+def _linked(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of similar nodes of different classes that share a bucket: enough to join the classes.
+
+    A large bucket, by nodes or by shingles, is dealt into blocks; each two of them meet in a group of their own.
     """
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("mass") / BLOCK_SHINGLES)).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    rows = members.join(nodes, "node").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumns({"block_i": F.least("block", "other"), "block_j": F.greatest("block", "other")})
+    rows = rows.select(*_GROUP, "block", "band", "node", "cls", "weight").join(nodes, "node")
     dealt = rows.select(*_GROUP, "block", "band", "node", "cls", "weight", "bands", "sketch", "shingles").repartition(n, *_GROUP).sortWithinPartitions(*_GROUP)
 
     def compare(batches):
-        group: list[dict] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if group and any(row[k] != group[0][k] for k in _GROUP):
-                    yield from out(group)
-                    group = []
-                group.append(row)
-        if group:
-            yield from out(group)
-
-    def out(group: list[dict]):
-        if len({r["cls"] for r in group}) < 2:
-            return
-        sketch = np.frombuffer(b"".join(r["sketch"] for r in group), np.uint8).reshape(len(group), -1)
-        bands = np.array([r["bands"] for r in group])
-        weight, block = np.array([r["weight"] for r in group]), np.array([r["block"] for r in group])
-        names = {c: k for k, c in enumerate({r["cls"] for r in group})}
-        cls = np.array([names[r["cls"]] for r in group])
-        band, across = group[0]["band"], group[0]["block_i"] != group[0]["block_j"]
-        left, right = [], []
-        for i in range(len(group) - 1):
-            rest = slice(i + 1, None)
-            low, high = np.minimum(weight[i], weight[rest]), np.maximum(weight[i], weight[rest])
-            fits = (cls[rest] != cls[i]) & (low >= THRESHOLD * high)
-            if across:
-                fits &= block[rest] != block[i]
-            at = np.flatnonzero(fits) + i + 1
-            at = at[(sketch[at] == sketch[i]).sum(1) >= LEAST_EQUAL]
-            at = at[~(bands[at, :band] == bands[i, :band]).any(1)]
-            if not len(at):
-                continue
-            own = np.frombuffer(group[i]["shingles"], np.uint32)
-            theirs = [np.frombuffer(group[k]["shingles"], np.uint32) for k in at]
-            ends = np.cumsum([0, *map(len, theirs)])
-            met = np.concatenate(([0], np.cumsum(np.isin(np.concatenate(theirs), own))))
-            overlap_ = met[ends[1:]] - met[ends[:-1]]
-            for k in at[overlap_ >= THRESHOLD * (weight[at] + weight[i] - overlap_)]:
-                if cls[k] != cls[i]:
-                    cls[cls == cls[k]] = cls[i]
-                    left.append(group[i]["node"])
-                    right.append(group[k]["node"])
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+        for group in _groups(batches, _GROUP):
+            left, right = _similar(group)
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
-    return dealt.mapInArrow(compare, "a binary, b binary")
+    return dealt.mapInArrow(resting(compare), "a binary, b binary")
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -258,7 +271,7 @@ def find(docs: DataFrame) -> DataFrame:
     smallest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row")
     nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(smallest, F.min("bands").alias("bands"), F.min("sketch").alias("sketch"), F.min("n_shingles").alias("weight"))
     buckets = nodes.select("node", "weight", F.posexplode("bands").alias("band", "bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("weight").alias("mass")).filter("size > 1")
     members = written(buckets.join(shared, "bucket"), "members")
     found = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("row.doc_id").alias("d"), F.col("row.text_hash").alias("h"))
     keyed = _keyed(docs)
@@ -271,9 +284,9 @@ def find(docs: DataFrame) -> DataFrame:
     stars = left.join(centres, "bucket").select(F.col("node").alias("a"), "b").filter("a != b").distinct()
     classes = joined_classes(classes, written(_verified(stars, texts), "verified"))
     left = written(_unsettled(members, classes), "unsettled")
-    hashes = _short_hashes(texts.join(left.select("node").distinct(), "node", "left_semi"))
-    pairs = _plausible(left, nodes.select("node", "bands", "sketch").join(hashes, "node"))
-    classes = joined_classes(classes, written(_verified(pairs, texts), "verified"))
+    elements = _elements(texts.join(left.select("node").distinct(), "node", "left_semi"))
+    pairs = _linked(left, nodes.select("node", "bands", "sketch").join(elements, "node"))
+    classes = joined_classes(classes, written(pairs, "linked"))
 
     named = rows.join(classes, "node", "left").withColumn("cls", F.coalesce("cls", "node"))
     ids = named.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("class_id"))

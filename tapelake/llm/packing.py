@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tapelake.llm.common import pieces, utf8
+from tapelake.llm.common import pieces, resting, utf8
 
 TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 2_000_000
@@ -290,4 +290,4 @@ def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_T
         if not keep_words:
             encode.rest()
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(resting(run), SCHEMA)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.boosting import bin_edges, binned, fit_tree, sigmoid
-from tapelake.llm.common import map_batches, utf8, written
+from tapelake.llm.common import map_batches, resting, utf8, written
 
 SAMPLE = 20_000
 BINS = 32
@@ -165,5 +165,5 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigmoid(shared.value.logit(x)))], schema=schema)
 
-    scored = measured.mapInArrow(add, "doc_id long, score double")
+    scored = measured.mapInArrow(resting(add), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

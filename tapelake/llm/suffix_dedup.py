@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.bwt import prefix_classes
-from tapelake.llm.common import fresh, map_batches, written
+from tapelake.llm.common import fresh, map_batches, resting, written
 from tapelake.llm.hashing import Prefixes, buffer
 
 LENGTH = 100
@@ -156,7 +156,7 @@ def _partitions(df: DataFrame) -> int:
 def _streamed(rows: DataFrame) -> DataFrame:
     """key, place and anchor (null: repeated from end to end) of the rows that matter. A place is low << 32 | high."""
     dealt = rows.repartition(_partitions(rows), "anchor").sortWithinPartitions("anchor", "context", "key", "place")
-    return written(dealt.mapInArrow(_stream_copies, "key long, place long, anchor long"), "runs")
+    return written(dealt.mapInArrow(resting(_stream_copies), "key long, place long, anchor long"), "runs")
 
 
 def _lists(found: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def _blocks(texts: DataFrame) -> DataFrame:
         return {"anchor": anchor, "context": strings, "key": batch.column("key").take(pa.array(row)), "low": low}
 
     rows = map_batches(texts.filter(F.size("open") > 0).select("key", "text", "open"), contexts, "anchor long, context binary, key long, low long")
-    return rows.repartition(_partitions(rows), "anchor").sortWithinPartitions("anchor").mapInArrow(_expand_blocks, "key long, place long")
+    return rows.repartition(_partitions(rows), "anchor").sortWithinPartitions("anchor").mapInArrow(resting(_expand_blocks), "key long, place long")
 
 
 def _narrowed(texts: DataFrame) -> DataFrame:
