@@ -248,6 +248,8 @@ _ORACLES = {
 SELECT 'origination' AS kind, quarter, {_fields("orig_tape", FRE_FIELDS)} FROM orig_tape
 UNION ALL SELECT 'performance', quarter, {_fields("perf_tape", FRE_FIELDS)} FROM perf_tape""",
     "src_zip_single_file": f"SELECT {_fields('fnm_tape', FNM_FIELDS)} FROM fnm_tape",
+    "src_zip_split": f"""
+SELECT 'whole.zip' AS source, 'tapes.zip' AS entry, 'tape.csv' AS member, {_fields("fnm_tape", FNM_FIELDS)} FROM fnm_tape""",
     "ingest_second_archive": f"""
 SELECT 'fannie' AS agency, if(CAST(column001 AS BIGINT) % 2 = 0, 'first.zip', 'second.zip') AS archive, {_fields("fnm_tape", FNM_FIELDS)} FROM fnm_tape""",
     "ingest_duplicate_vintage": """

@@ -132,6 +132,17 @@ def src_zip_single_file(spark, sf_dir):
     return _zipped_fnm(spark, standins.fnm_tape(spark, sf_dir), root)[0].select(*tapes.FNM_FIELDS)
 
 
+@query
+def src_zip_split(spark, sf_dir):
+    """One member in a nested zip that is deflated itself: inflated to lines by one task, parsed by as many as there are chunks."""
+    root = shared_folder(spark, "split")
+    files.zip_parts(spark, _text(standins.fnm_tape(spark, sf_dir), f"{root}/text"), f"{root}/zip", F.lit("whole"), deflated=True)
+    entries = archives.archive_entries(spark, f"{root}/zip")
+    bronze = archives.write_bronze(entries, f"{root}/bronze", tapes.FNM_WIDTH, r"\.csv$", chunk_lines=10_000)
+    rows = archives.rows_of(bronze, archives.outcomes(bronze))
+    return rows.select("source", "entry", "member", *tapes.FNM_FIELDS)
+
+
 @query
 def ingest_second_archive(spark, sf_dir):
     """An archive is loaded after another, then the first once more: both are there, once."""

@@ -5,7 +5,7 @@ A layer on shared storage also cuts the lineage: after a lost executor, work res
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapelake.operators.canonical import unify_tapes
@@ -31,11 +31,16 @@ def fre_silver(orig: DataFrame, perf: DataFrame, perf_quarters: DataFrame | None
     the performance rows. Fields past the layout are in ``beyond`` (origination) and ``beyond_1`` (performance).
     """
     quarters = perf if perf_quarters is None else perf_quarters
-    return join_performance(tapes.paired(orig, quarters), perf).withColumn("agency", F.lit(FRE_SILVER))
+    return join_performance(tapes.paired(_with_beyond(orig), quarters), _with_beyond(perf)).withColumn("agency", F.lit(FRE_SILVER))
 
 
 def fnm_silver(tape: DataFrame) -> DataFrame:
-    return tape.withColumn("agency", F.lit(FNM_SILVER))
+    return _with_beyond(tape).withColumn("agency", F.lit(FNM_SILVER))
+
+
+def _with_beyond(tape: DataFrame) -> DataFrame:
+    """A tape that keeps the fields past its layout, so that all loads have the same columns."""
+    return tape if "beyond" in tape.columns else tape.withColumn("beyond", F.lit(None).cast("array<string>"))
 
 
 def read_fre_files(spark: SparkSession, folder: str, width: int = tapes.FRE_WIDTH) -> tuple[DataFrame, DataFrame]:
@@ -83,18 +88,13 @@ def read_fnm_archives(entries: DataFrame, path: str) -> tuple[DataFrame, DataFra
     members = archives.outcomes(bronze)
     broken = members.where(F.col("error").isNotNull()).select("archive").distinct()
     whole = members.join(small_side(broken), "archive", "left_anti")
-    return archives.rows_of(bronze, whole).select(archive_name().alias("archive"), *tapes.FNM_FIELDS, "beyond"), members
-
-
-def archive_name() -> Column:
-    """An archive's file name, the key by which a later load replaces it."""
-    return F.element_at(F.split("archive", "/"), -1)
+    return archives.rows_of(bronze, whole).select(archives.archive_name().alias("archive"), *tapes.FNM_FIELDS, "beyond"), members
 
 
 def fnm_status(members: DataFrame) -> DataFrame:
     """``source, status, row_count, error``: one row per single-file archive."""
     error = F.max("error")
-    return members.groupBy(archive_name().alias("source")).agg(
+    return members.groupBy(archives.archive_name().alias("source")).agg(
         F.when(error.isNull(), "loaded").otherwise("failed").alias("status"),
         F.when(error.isNull(), F.sum("rows")).otherwise(F.lit(0)).alias("row_count"),
         error.alias("error"),
@@ -115,16 +115,18 @@ def member_quarters(members: DataFrame) -> DataFrame:
 def write_fre_silver(
     spark: SparkSession, orig: DataFrame, perf: DataFrame, path: str, perf_quarters: DataFrame | None = None
 ) -> DataFrame:
-    write_layer(fre_silver(orig, perf, perf_quarters), path, SNAPPY, ("agency", "quarter"), rebalance=True)
-    return tapes.read_layer(spark, path, merge=True)
+    silver = fre_silver(orig, perf, perf_quarters)
+    write_layer(silver, path, SNAPPY, ("agency", "quarter"), rebalance=True)
+    return tapes.read_parts(spark, path, silver.schema, ("agency", "quarter"))
 
 
 def write_fnm_silver(spark: SparkSession, tape: DataFrame, path: str) -> DataFrame:
     """One partition per agency and archive: a load replaces the archives it brings and leaves all others."""
     if "archive" not in tape.columns:
         tape = tape.withColumn("archive", F.lit(UNPACKED))
-    write_layer(fnm_silver(tape), path, SNAPPY, ("agency", "archive"), rebalance=True)
-    return tapes.read_layer(spark, path, merge=True)
+    silver = fnm_silver(tape)
+    write_layer(silver, path, SNAPPY, ("agency", "archive"), rebalance=True)
+    return tapes.read_parts(spark, path, silver.schema, ("agency", "archive"))
 
 
 def ingest_status(orig_quarters: DataFrame, silver: DataFrame, members: DataFrame | None = None) -> DataFrame:
@@ -142,7 +144,7 @@ def ingest_status(orig_quarters: DataFrame, silver: DataFrame, members: DataFram
     )
     if members is None:
         return rows
-    source = F.coalesce("member", "entry", archive_name())
+    source = F.coalesce("member", "entry", archives.archive_name())
     other = members.where("status <> 'read'").select(source.alias("source"), "status", F.lit(0).cast("bigint").alias("row_count"), "error")
     return rows.unionByName(other)
 

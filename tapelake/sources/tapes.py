@@ -71,11 +71,15 @@ def read_tape(spark: SparkSession, paths: str | list[str], width: int | None = N
 
 def layout_fields(lines: DataFrame, width: int, sep: str = SEPARATOR) -> DataFrame:
     """Lines (``value``), as a table or a stream, -> a layout's columns and ``beyond``, as archives are parsed; no blank lines."""
-    filled = lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
-    split = filled.select(F.split("value", F.lit("\\" + sep), -1).alias("fields"))
+    return split_fields(lines.where(F.col("value").rlike(r"[^\x00-\x20]")), width, sep)
+
+
+def split_fields(lines: DataFrame, width: int, sep: str = SEPARATOR, before: tuple[str, ...] = (), after: tuple[str, ...] = ()) -> DataFrame:
+    """Every line's fields by position, an empty one as NULL, and ``beyond``, those past the width; other columns around them."""
+    split = lines.select(*before, F.split("value", F.lit("\\" + sep), -1).alias("fields"), *after)
     columns = [F.nullif(F.get("fields", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(field_names(width))]
     more = F.transform(F.slice("fields", F.lit(width + 1), F.greatest(F.size("fields") - width, F.lit(0))), lambda x: F.nullif(x, F.lit("")))
-    return split.select(*columns, F.when(F.size("fields") > width, more).alias("beyond"))
+    return split.select(*before, *columns, F.when(F.size("fields") > width, more).alias("beyond"), *after)
 
 
 def too_wide(spark: SparkSession, paths: str | list[str], width: int, sep: str = SEPARATOR) -> DataFrame:
@@ -105,6 +109,15 @@ def read_layer(spark: SparkSession, paths: str | list[str], merge: bool = False)
     return spark.read.option("mergeSchema", merge).parquet(*([paths] if isinstance(paths, str) else paths))
 
 
+def read_parts(spark: SparkSession, path: str, schema: StructType, parts: tuple[str, ...]) -> DataFrame:
+    """Parquet in partitions, by a schema that is known: no file's footer is read, and part names are text, whatever they look like.
+
+    A column that an older file lacks is NULL there.
+    """
+    fields = [f for f in schema if f.name not in parts]
+    return spark.read.schema(StructType([*fields, *[StructField(p, StringType()) for p in parts]])).parquet(path)
+
+
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """``path, bytes`` of the files under a directory or glob; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

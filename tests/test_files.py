@@ -1,6 +1,7 @@
 import io
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,17 +161,21 @@ def test_a_quarter_in_two_archives_is_read_once(spark, folder):
     assert sorted((r.archive.rsplit("/", 1)[1], r.status) for r in found.collect()) == [("new.zip", "superseded")] * 2 + [("old.zip", "read")] * 2
 
 
-def test_a_nested_zip_is_inflated_no_more_than_twice(folder, monkeypatch):
+def big_nested(folder, lines=3000, files=8):
+    """An archive whose nested zip is deflated too."""
     import random
 
-    import pyarrow as pa
-
     line = "|".join(str(random.Random(1).random()) for _ in range(40)) + "\n"
-    nested_zip(folder / "n.zip", {f"historical_data_2021Q{i}.txt": line * 3000 for i in range(8)})
+    nested_zip(folder / "n.zip", {f"historical_data_2021Q{i}.txt": line * lines for i in range(files)})
     with zipfile.ZipFile(folder / "n.zip") as outer:
         inner = outer.read("inner.zip")
     with zipfile.ZipFile(folder / "n.zip", "w", zipfile.ZIP_DEFLATED) as outer:
         outer.writestr("inner.zip", inner)
+    return inner
+
+
+def test_a_nested_zip_is_inflated_once(folder, monkeypatch):
+    inner = big_nested(folder)
     passed = []
     read = zipfile.ZipExtFile._read1
 
@@ -181,10 +186,47 @@ def test_a_nested_zip_is_inflated_no_more_than_twice(folder, monkeypatch):
 
     # ``_read1`` is where a member's bytes are inflated.
     monkeypatch.setattr(zipfile.ZipExtFile, "_read1", counted)
-    entry = pa.RecordBatch.from_pylist([{"archive": f"file://{folder}/n.zip", "entry": "inner.zip", "bytes": 1, "error": None}])
-    batches = list(archives._reader(32, "historical", "|")(iter([entry])))
+    entry = pa.RecordBatch.from_pylist([{"archive": f"file://{folder}/n.zip", "entry": "inner.zip", "bytes": 1, "deflated": True, "error": None}])
+    members = [*archives._rows_of_tasks(archives._list_members(f"{folder}/nested"), archives.MEMBER_SCHEMA)(iter([entry]))]
+    assert sum(b.num_rows for b in members) == 8 and sum(passed) == len(inner)
+    batches = [*archives._inflate(iter(members))]
     assert sum(b.num_rows for b in batches) == 8 * 3001 and not any(b.column("error").drop_null() for b in batches)
-    assert sum(passed) <= 2.1 * len(inner)
+    assert sum(passed) == len(inner)
+
+
+def test_one_large_member_is_parsed_by_many_tasks(spark, folder):
+    big_nested(folder, lines=2000, files=1)
+    entries = archives.archive_entries(spark, str(folder / "n.zip"))
+    members = archives.entry_members(entries)
+    lines = archives.member_lines(members, chunk_lines=250)
+    assert members.count() == 1 and len(lines.inputFiles()) == 9
+    spark.conf.set("spark.sql.files.openCostInBytes", 128 << 20)  # a task per file, as with large ones
+    try:
+        bronze = archives.write_parsed(lines, str(folder / "bronze"), 40)
+        tasks = tapes.split_fields(lines, 40).select(F.spark_partition_id().alias("task")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tasks == 9 and len(bronze.inputFiles()) >= 8
+    assert archives.rows_of(bronze, archives.outcomes(bronze)).count() == 2000
+    assert [(r["rows"], r["error"]) for r in archives.outcomes(bronze).collect()] == [(2000, None)]
+
+
+def test_bronze_keeps_the_history_of_other_archives(spark, folder):
+    def load(name, text):
+        with zipfile.ZipFile(folder / name, "w") as z:
+            z.writestr("tape.csv", text)
+        bronze = archives.write_bronze(archives.archive_entries(spark, str(folder / name)), str(folder / "bronze"), 2, "csv$")
+        return sorted((r.source, r.column0) for r in archives.rows_of(bronze, archives.outcomes(bronze)).collect())
+
+    def files(name):
+        return {f.name for f in (folder / "bronze" / f"source={name}").glob("*.parquet")}
+
+    assert load("a.zip", "1|\n") == [("a.zip", "1")]
+    kept = files("a.zip")
+    assert load("007.zip", "2|\n") == [("007.zip", "2")]
+    assert files("a.zip") == kept != set()
+    assert load("a.zip", "3|\n4|\n") == [("a.zip", "3"), ("a.zip", "4")]
+    assert files("007.zip") and not files("a.zip") & kept
 
 
 def test_index_csv(spark, folder):
