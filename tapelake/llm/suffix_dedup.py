@@ -4,8 +4,9 @@ Anchors. Of the 32-byte strings inside a 100-byte string the one with the smalle
 strings have equal anchors. The starts that share an anchor occurrence are a run; the bytes their 100-byte strings cover are
 its context. A map emits one short row per run: the hashes of anchor and context and its place, about one for 35 bytes.
 
-Copies. Rows are brought together by anchor and streamed in order. A context that has come before is repeated from end to
-end. An anchor with one context only needs nothing more. Where an anchor has several, the first row of each context goes on.
+Copies. Of the rows of one batch with the same anchor and context all but the first are repeated from end to end, and are
+settled before the shuffle. The others are brought together by anchor and streamed in order. A context that has come before is
+repeated from end to end. An anchor with one context only needs nothing more. Where an anchor has several, the first row of each context goes on.
 
 Expansion. The contexts of such anchors meet in blocks of bounded size, whole anchors each; ``bwt.prefix_classes`` finds the
 classes of equal 100-byte strings in a block, and all members of a class but the first by (document, start) are repeated. An
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tapelake.llm.bwt import prefix_classes
 from tapelake.llm.common import fresh, map_batches, resting, written
-from tapelake.llm.hashing import Prefixes, buffer
+from tapelake.llm.hashing import Prefixes, buffer, mix
 
 LENGTH = 100
 ANCHOR = 32
@@ -80,6 +81,22 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     return written(ordered.withColumn("key", F.monotonically_increasing_id()), "ordered"), False
 
 
+def _combined(anchor: np.ndarray, context: np.ndarray, key: np.ndarray, place: np.ndarray) -> dict:
+    """The rows of a batch, where of those with one anchor and context only the first may be the first of all.
+
+    The others are repeated whatever other batches hold. They are marked by a place below zero, and get a key of their own to
+    be dealt out by in place of the anchor, so that an anchor that fills the batch sends one row for each of its contexts.
+    """
+    order = np.lexsort((place, key, context, anchor))
+    again = np.zeros(len(order), bool)
+    again[1:] = (anchor[order][1:] == anchor[order][:-1]) & (context[order][1:] == context[order][:-1])
+    again = order[again]
+    anchor, place = anchor.copy(), place.copy()
+    anchor[again] = mix(key[again].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place[again].astype(np.uint64)).view(np.int64)
+    place[again] = ~place[again]
+    return {"anchor": anchor, "context": context, "key": key, "place": place}
+
+
 def _stream_copies(batches):
     """Rows in the order of anchor, context and place -> repeated runs, and the first run of each of several contexts."""
     schema = pa.schema([("key", pa.int64()), ("place", pa.int64()), ("anchor", pa.int64())])
@@ -90,6 +107,12 @@ def _stream_copies(batches):
         if not batch.num_rows:
             continue
         anchor, context, key, place = (batch.column(c).to_numpy() for c in ("anchor", "context", "key", "place"))
+        done = place < 0
+        if done.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key[done]), pa.array(~place[done]), pa.nulls(int(done.sum()), pa.int64())], schema=schema)
+            anchor, context, key, place = (x[~done] for x in (anchor, context, key, place))
+            if not len(anchor):
+                continue
         same_anchor, same_context = np.zeros(len(anchor), bool), np.zeros(len(anchor), bool)
         same_anchor[1:] = anchor[1:] == anchor[:-1]
         same_context[1:] = same_anchor[1:] & (context[1:] == context[:-1])
@@ -162,7 +185,8 @@ def _streamed(rows: DataFrame) -> DataFrame:
 def _lists(found: DataFrame) -> DataFrame:
     """Per document: the repeated runs, those whose contexts are to be compared, and those of crowded anchors."""
     crowded = found.filter("anchor IS NOT NULL").groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("anchor", F.lit(True).alias("crowded"))
-    marked = found.join(crowded, "anchor", "left")
+    # A repeated run has no anchor to be joined by; a join would bring all of them into one task.
+    marked = found.filter("anchor IS NOT NULL").join(crowded, "anchor", "left").unionByName(found.filter("anchor IS NULL"), allowMissingColumns=True)
     run, known = F.struct("place", "anchor"), F.col("anchor").isNotNull()
     return marked.groupBy("key").agg(
         F.collect_list(F.when(~known, F.col("place"))).alias("done"),
@@ -177,7 +201,7 @@ def _work(docs: DataFrame) -> tuple[DataFrame, bool]:
 
     def emit(batch: pa.RecordBatch) -> dict:
         row, low, high, anchor, context = runs(*buffer(batch.column("text")))
-        return {"anchor": anchor.view(np.int64), "context": context.view(np.int64), "key": batch.column("key").take(pa.array(row)), "place": low << 32 | high}
+        return _combined(anchor.view(np.int64), context.view(np.int64), batch.column("key").to_numpy()[row], low << 32 | high)
 
     found = _streamed(map_batches(keyed, emit, "anchor long, context long, key long, place long", most_bytes=1_000_000))
     text = F.coalesce(keyed["text"], F.lit(""))
@@ -235,7 +259,7 @@ def _narrowed(texts: DataFrame) -> DataFrame:
                 a, c = prefixes.of(core, whole).view(np.int64).tolist()
                 for name, v in zip(out, (a ^ distance, c, keys[r], low + first << 32 | low + end), strict=True):
                     out[name].append(v)
-        return out
+        return _combined(*(np.array(x, np.int64) for x in out.values()))
 
     return map_batches(texts, cut, "anchor long, context long, key long, place long")
 
