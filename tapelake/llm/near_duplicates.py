@@ -11,9 +11,11 @@ Duplicates. Texts with equal multisets are one node from the start. Nodes that a
 candidates. In each bucket the node that meets the most others over all its bands is the centre and is held against all the
 others; links are verified by exact multiset overlap and joined to classes. Members of one class are never paired again,
 so a large group of copies costs as many comparisons as it has members. In buckets that then still hold several classes
-the pairs of different classes are compared inside a task, in blocks of bounded size: each pair in the first band that it
-shares, by weights, by signature, and then by the exact overlap of all its shingles, so that a pair that comes out, at most
-one for two classes of a block, is a link.
+the pairs of different classes are compared inside a task: each pair in the first band that it shares, by weights, by
+signature, and then by the exact overlap of all its shingles, so that a pair that comes out, at most one for two classes of a
+group, is a link. The nodes of a bucket too large for one task are dealt anew by their rarest shingles, so that only those meet
+that can be similar; rows are in proportion to shingles. Only where thousands of nodes share even one of these, texts just
+below the threshold, are they compared block by block, and rows grow faster than nodes.
 
 With 24 bands of 4 a pair at the threshold of 0.8 is missed with probability (1 - 0.8^4)^24 = 3e-6, and its signature, of 96
 components, agrees in fewer than 62 with probability 5e-5.
@@ -26,9 +28,11 @@ empty table gives an empty result. Extra columns are kept by ``keep_first``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.llm.classes import joined_classes
@@ -41,6 +45,8 @@ BANDS, ROWS = 24, 4
 #: Components of two signatures that agree at least if the texts are similar; nodes and shingles of a bucket that meet at once.
 LEAST_EQUAL = 62
 BLOCK, BLOCK_SHINGLES = 2000, 1_000_000
+#: A shingle with more than one in so many of all occurrences in crowded buckets is frequent.
+FREQUENT = 100_000
 
 _UNIT = 2.0**-53
 
@@ -243,13 +249,55 @@ def _similar(group: pa.Table) -> tuple[list, list]:
     return left, right
 
 
+def _blocks() -> Column:
+    return F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("mass") / BLOCK_SHINGLES)).cast("int")
+
+
+def _refined(members: DataFrame, elements: DataFrame) -> DataFrame:
+    """The members of crowded buckets in buckets of another kind: one for each of their rarest shingles.
+
+    Of two texts that are similar each has a shingle of the other among the first fifth of its own, in any order that is the
+    same for all texts. In an order that puts frequent shingles last, texts that share no more than a frequent passage do
+    not meet. Frequent are those with more than one in ``FREQUENT`` of all occurrences, so there are no more than that.
+    """
+    nodes = written(members.select("node", "cls", "weight").distinct().join(elements, "node"), "crowded")
+
+    def all_of(batch: pa.RecordBatch) -> dict:
+        return {"element": np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.int64)}
+
+    counts = map_batches(nodes.select("shingles"), all_of, "element long", text="shingles").groupBy("element").agg(F.count("*").alias("n"))
+    counts = written(counts.filter("n > 1"), "shingle-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    often = counts.filter(F.col("n") * FREQUENT > total).orderBy("n", "element").select("element").toPandas()["element"].to_numpy(np.int64)
+    by_value = np.argsort(often)
+    shared = members.sparkSession.sparkContext.broadcast((often[by_value], by_value))
+
+    def first_of(batch: pa.RecordBatch) -> dict:
+        frequent, rank = shared.value
+        at, bucket = [], []
+        for i, shingles in enumerate(batch.column("shingles").to_pylist()):
+            own = np.frombuffer(shingles, np.int64)
+            place = np.minimum(np.searchsorted(frequent, own), max(len(frequent) - 1, 0))
+            late = frequent[place] == own if len(frequent) else np.zeros(len(own), bool)
+            order = np.lexsort((own, np.where(late, rank[place], -1) if len(frequent) else own))
+            first = own[order[: len(own) - math.ceil(THRESHOLD * len(own)) + 1]]
+            at += [i] * len(first)
+            bucket.append(first)
+        at = pa.array(at, pa.int64())
+        return {n: batch.column(n).take(at) for n in ("node", "cls", "weight")} | {"bucket": np.concatenate(bucket) if bucket else []}
+
+    dealt = written(map_batches(nodes, first_of, "bucket long, node binary, cls binary, weight long", text="shingles"), "refined")
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("weight").alias("mass"), F.min("cls").alias("x"), F.max("cls").alias("y"))
+    return dealt.join(sizes.filter("x != y").drop("x", "y"), "bucket").withColumn("band", F.lit(0))
+
+
 def _linked(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of similar nodes of different classes that share a bucket: enough to join the classes.
 
-    A large bucket, by nodes or by shingles, is dealt into blocks; each two of them meet in a group of their own.
+    A bucket that is still large, by nodes or by shingles, is dealt into blocks; each two of them meet in a group of their own.
     """
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("mass") / BLOCK_SHINGLES)).cast("int")
+    blocks = _blocks()
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     rows = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumns({"block_i": F.least("block", "other"), "block_j": F.greatest("block", "other")})
@@ -284,8 +332,12 @@ def find(docs: DataFrame) -> DataFrame:
     stars = left.join(centres, "bucket").select(F.col("node").alias("a"), "b").filter("a != b").distinct()
     classes = joined_classes(classes, written(_verified(stars, texts), "verified"))
     left = written(_unsettled(members, classes), "unsettled")
-    elements = _elements(texts.join(left.select("node").distinct(), "node", "left_semi"))
-    pairs = _linked(left, nodes.select("node", "bands", "sketch").join(elements, "node"))
+    elements = written(_elements(texts.join(left.select("node").distinct(), "node", "left_semi")), "elements")
+    usual, crowded = left.filter(_blocks() <= 1), left.filter(_blocks() > 1)
+    if not crowded.isEmpty():
+        names = ["bucket", "band", "node", "cls", "weight", "size", "mass"]
+        usual = usual.select(names).unionByName(_refined(crowded, elements).select(names))
+    pairs = _linked(usual, nodes.select("node", "bands", "sketch").join(elements, "node"))
     classes = joined_classes(classes, written(pairs, "linked"))
 
     named = rows.join(classes, "node", "left").withColumn("cls", F.coalesce("cls", "node"))
