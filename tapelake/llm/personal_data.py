@@ -1,11 +1,13 @@
 """Personal data by bootstrapped contextual extraction, with DataFrame functions only.
 
-Four kinds are found by pattern and are always kept: email, ip, card, phone. They are the seeds. Every other token that
-looks like an identifier (eight characters or more, four digits or more) is a candidate. Seeds and candidates are instances;
-the word to the left, the word to the right and the shape of an occurrence are its lexical patterns. Patterns and instances
-form a graph that is scored round by round: a pattern by the mean of its instances, damped where there are few, an instance
-by the mean of its patterns; seeds stay at one. Candidates that end above the threshold, by way of a pattern that is itself
-trusted and was seen with several instances, are identifiers that the patterns discovered, and so are all their occurrences.
+Four kinds are found by pattern and are always kept: email, ip, card, phone. Every other token that looks like an identifier
+(eight characters or more, four digits or more) is a candidate. The four kinds are seeds, and so are candidates that say what
+they are: long tokens of letters and digits that a word such as ``token`` or ``key`` is set to. Seeds and candidates are
+instances; the word to the left with the signs between (past blanks and quotes), the word to the right and the shape of an
+occurrence are its lexical patterns. Patterns and instances form a graph that is scored round by round: a pattern by the mean
+of its instances, damped where there are few, an instance by the mean of its patterns; seeds stay at one. Candidates that end
+above the threshold, by way of a pattern that is itself trusted and was seen with several instances, are identifiers that the
+patterns discovered, and so are all their occurrences: a value that is found out beside ``token =`` is found alone as well.
 
 The graph is joins and grouped sums over (pattern, instance) rows; no pattern's instances meet in one row. Positions in a
 text are worked out within its row. The text itself is shuffled only by ``redact``.
@@ -36,7 +38,9 @@ CANDIDATE = (
     r"|(?<![A-Za-z0-9])(?=[A-Za-z0-9])(?=[A-Za-z._@%+/-]*+[0-9])[A-Za-z0-9][A-Za-z0-9._@%+/-]{6,}[A-Za-z0-9](?![A-Za-z0-9])"
 )
 MIN_DIGITS = 4
-CONTEXT = 60
+# What a token that says what it is looks like, and the word and sign that it is set by.
+SECRET = r"^(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{20,}$"  # it has MIN_DIGITS digits, being a candidate
+SECRET_LEFT = r"(?:token|secret|key|passwd|password|pwd|credential|auth|bearer)s?[:=]+$"
 ROUNDS = 4
 DAMPING = 1.0
 THRESHOLD = 0.5
@@ -74,12 +78,20 @@ VALID = {
 PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "id": CANDIDATE}
 
 
+# A word, however long, is tried from its first letter only and never again from its middle, so both are linear.
+_WORD = r"[\p{L}\p{N}_]"
+_LEFT = rf"(?<!{_WORD})({_WORD}++)([^\p{{L}}\p{{N}}_\n]*+)$"
+_RIGHT = rf"^[^\p{{L}}\p{{N}}_\n]*+({_WORD}++)"
+
+
 def _left_word(gap: Column) -> Column:
-    return F.regexp_replace(F.lower(F.regexp_extract(F.right(gap, F.lit(CONTEXT)), r"(\S+)\s*$", 1)), "[0-9]+", "0")
+    """The last word of a gap, with numbers as 0, and the signs after it, without blanks and quotes."""
+    signs = F.regexp_replace(F.regexp_extract(gap, _LEFT, 2), r"[\s\"'`]", "")
+    return F.concat(F.regexp_replace(F.lower(F.regexp_extract(gap, _LEFT, 1)), "[0-9]+", "0"), signs)
 
 
 def _right_word(gap: Column) -> Column:
-    return F.regexp_replace(F.lower(F.regexp_extract(F.left(gap, F.lit(CONTEXT)), r"^\s*(\S+)", 1)), "[0-9]+", "0")
+    return F.regexp_replace(F.lower(F.regexp_extract(gap, _RIGHT, 1)), "[0-9]+", "0")
 
 
 def _with_spans(df: DataFrame, text: Column, kind: str, name: str) -> DataFrame:
@@ -139,9 +151,16 @@ def kind_of(value: Column) -> Column:
     )
 
 
+def says_what_it_is(span: Column) -> Column:
+    """Whether a candidate is a long token that a word for secrets is set to."""
+    return F.coalesce(span["value"].rlike(SECRET) & span["left"].rlike(SECRET_LEFT), F.lit(False))
+
+
 def edges(found: DataFrame) -> DataFrame:
     """pattern, instance, seed: each once."""
-    rows = found.select(F.explode("base").alias("s"), F.lit(1).alias("seed")).unionAll(found.select(F.explode("candidates").alias("s"), F.lit(0).alias("seed")))
+    known = found.select(F.explode("base").alias("s"), F.lit(1).alias("seed"))
+    others = found.select(F.explode("candidates").alias("s"))
+    rows = known.unionAll(others.select("s", says_what_it_is(F.col("s")).cast("int").alias("seed")))
     value = F.lower("s.value")
     patterns = F.array(F.concat(F.lit("L "), "s.left"), F.concat(F.lit("R "), "s.right"), F.concat(F.lit("S "), shape(F.col("s.value"))))
     return rows.select(F.explode(patterns).alias("pattern"), value.alias("instance"), "seed").groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))

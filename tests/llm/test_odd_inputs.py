@@ -89,3 +89,31 @@ def test_digits_may_come_late_in_an_identifier(spark, documents):
     plain, parted = "q" * 80 + "1234", "x" * 70 + "-" + "y" * 20 + "5678"
     got = personal_data.occurrences(documents([(1, f"the key {plain} and {parted} end")])).first()
     assert [c["value"] for c in got["candidates"]] == [plain, parted]
+
+
+def test_secrets_are_found_by_what_they_are_set_to(documents):
+    key = [f"{i:02d}af03bc9d1e77aa{i * 7:04d}cd" for i in range(8)]
+    said = [(i, f'some words then token = "{k}" and more') for i, k in enumerate(key)]
+    alone = [(20, f"the same value {key[3]} alone")]
+    by_context = [(30, "here token = 'Zx-1234-9' too"), (31, 'there token="Qy-5678-1"')]
+    clean = [(40, "order a1b2c3d4e5f6a7b8c9d0e1 of the list"), (41, "the token was lost in 1987 and found in 2011"), (42, "version = 12.04.2020-beta1 is out")]
+    got = {r["doc_id"]: r["spans"] for r in personal_data.digest(documents(said + alone + by_context + clean)).collect()}
+    for i, text in said + alone:
+        k = next(k for k in key if k in text)
+        assert got[i] == f"id:{text.index(k)}:{text.index(k) + len(k)}"
+    assert got[30] == "id:14:23" and got[31] == "id:13:22"
+    assert got[40] == got[41] == got[42] == ""
+    redacted = {r["doc_id"]: r["text"] for r in personal_data.redact(documents(said + alone + clean)).collect()}
+    assert redacted[0] == 'some words then token = "[ID]" and more' and redacted[41] == dict(clean)[41]
+
+
+def test_neighbouring_words_of_any_length(documents):
+    word = "w" * 5000
+    got = personal_data.occurrences(documents([(1, f'{word} = "ab12cd34ef" {word}')])).first()["candidates"][0]
+    assert got["left"] == word + "=" and got["right"] == word
+
+
+def test_text_of_elements_that_show_some(spark):
+    html = "<body><article><p>Energy <math><mi>E</mi>=<mn>1</mn></math> holds, as was said.</p><p><noscript>Shown too.</noscript> <object>And this.</object></p></article></body>"
+    got = html_extract.extract(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")).first()["text"]
+    assert got == "Energy E=1 holds, as was said.\nShown too. And this."
