@@ -6,7 +6,8 @@ import html
 import re
 from dataclasses import dataclass, field
 
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "select", "textarea", "button", "title", "head"}
+# Elements without text of their own. What stands in noscript, object or math is text like any other.
+RAW = {"script", "style", "template", "iframe", "svg", "select", "textarea", "button", "title", "head"}
 # Elements whose content is not markup.
 _OPAQUE = {"script", "style", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from tapelake.llm.boosting import Boosted, fit_boosted
 from tapelake.llm.common import map_batches
 from tapelake.llm.dom import Page, read
+from tapelake.llm.hashing import mix
 
 SAMPLE_PAGES = 400
 SAMPLE_NODES = 100_000
@@ -222,7 +224,7 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_nodes: int =
     some = pages.filter(F.pmod(F.xxhash64("page_id", "url"), F.lit(every)) == 0).select("html")
 
     def measure(batch: pa.RecordBatch) -> dict:
-        x, y = [], []
+        x, y, h = [], [], []
         for source in batch.column("html").to_pylist():
             page = read(source)
             random = np.random.default_rng(len(source or ""))
@@ -231,9 +233,13 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_nodes: int =
                 known = label >= 0
                 x.append(features(one)[known])
                 y.append(label[known])
-        return {"x": list(np.concatenate(x)), "y": np.concatenate(y)}
+                start = np.uint64(zlib.crc32((source or "").encode()) << 20)
+                h.append(mix(start + np.arange(len(label), dtype=np.uint64)[known]).view(np.int64))
+        return {"x": list(np.concatenate(x)), "y": np.concatenate(y), "h": np.concatenate(h)}
 
-    rows = map_batches(some, measure, "x array<double>, y int", text="html").limit(sample_nodes).toPandas()
+    # Which nodes are taken depends on pages and nodes alone, not on which task is first.
+    measured = map_batches(some, measure, "x array<double>, y int, h long", text="html")
+    rows = measured.orderBy("h", "y", "x").limit(sample_nodes).toPandas()
     width = _N_TELLING + len(_SHAPE)
     x = np.stack(rows["x"].to_numpy()) if len(rows) else np.zeros((0, width))
     y = rows["y"].to_numpy(float) if len(rows) else np.zeros(0)

@@ -142,10 +142,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sampled(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """About ``sample`` of the labelled ids that are not held out, chosen by hash, and no more than twice as many."""
+    """At most ``sample`` of the labelled ids that are not held out: those with the smallest hashes."""
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    every = max(1, -(-usable.count() // sample))
-    return usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).limit(2 * sample)
+    return usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -155,7 +154,9 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
         return {"doc_id": batch.column("doc_id"), "x": [features(t) for t in utf8(batch, "text")]}
 
     measured = written(map_batches(docs.select("doc_id", "text"), measure, "doc_id long, x array<double>"), "features")
-    rows = measured.join(sampled(labels, sample), "doc_id").select("doc_id", "x", "quality").limit(4 * sample).orderBy("doc_id", "x").collect()
+    rows = measured.join(sampled(labels, sample), "doc_id").select("doc_id", "x", "quality")
+    # A document of several rows may bring more than one; of those the same are left out every time.
+    rows = sorted(rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample).collect(), key=lambda r: (r["doc_id"], r["x"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
     shared = docs.sparkSession.sparkContext.broadcast(fit(x, np.array([r["quality"] for r in rows], float)))
 
