@@ -47,3 +47,36 @@ def test_the_last_stage_gives_token_ids(spark, documents, prose):
     ids = WordIds(P.path("word_bpe_49k.json")).encode([t.encode() for t in texts.values()])
     for d, x in zip(texts, ids, strict=True):
         assert [i for r in rows if r["doc_id"] == d for i in r["ids"]] == [*np.frombuffer(x, "<u4"), 1]
+
+
+def clashing(df):
+    """Columns whose names the stages use themselves."""
+    return df.selectExpr("*", "1 AS key", "2 AS place", "'x' AS bands", "3 AS spans", "4 AS hits", "5 AS window", "6 AS cls", "7 AS kept", "8 AS ids", "9 AS length")
+
+
+def test_odd_documents_pass_every_stage(spark, documents, odd, prose, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, null ids and columns of any name: every stage has a defined result."""
+    import corpus_pipeline
+
+    good = [(100 + i, prose(100 + i, 90)) for i in range(3)]
+    clashing(documents(odd + good + good[:1])).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "one two"), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    names = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)), "odd")
+        assert docs.columns == names
+        assert {(r["key"], r["cls"]) for r in docs.collect()} == {(1, 6)}
+    left = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert {i: left[i] for i, _ in good} == dict(good)
+    assert sum(r["doc_id"] == 100 for r in docs.collect()) == 1 and len({5, 6} & set(left)) == 1 and 7 in left
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in packed} == set(left)
+
+
+def test_an_empty_table(spark, documents, tmp_path):
+    import corpus_pipeline
+
+    documents([]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "one two")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
