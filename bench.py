@@ -16,6 +16,8 @@ from pathlib import Path
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from catalog import queries, standins  # noqa: E402
 from catalog.queries import QUERIES  # noqa: E402
 from tapelake.operators.canonical import unify_tapes  # noqa: E402
@@ -60,8 +62,9 @@ def layer_steps(spark, sf_dir: str) -> dict:
     for name, df in made.items():
         df.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{root}/raw/{name}")
     raw = {name: tapes.read_layer(spark, f"{root}/raw/{name}") for name in made}
-    fre = lakehouse.write_fre_silver(spark, raw["orig"], raw["perf"], f"{root}/silver/fre")
-    index = lakehouse.write_index(spark, raw["index"], f"{root}/silver/index")
+    fre = lakehouse.write_fre_silver(spark, raw["orig"], raw["perf"], f"{root}/lake/silver/fre")
+    lakehouse.write_fnm_silver(spark, raw["fnm"].withColumn("archive", F.concat(F.lit("tape"), F.col("column001").cast("long") % 8)), f"{root}/lake/silver/fnm")
+    index = lakehouse.write_index(spark, raw["index"], f"{root}/lake/silver/index")
     gold = lakehouse.write_gold(spark, raw["fnm"], fre, f"{root}/gold")
     marked = lakehouse.write_marked(spark, gold, index, f"{root}/marked")
     final = lakehouse.write_final(spark, marked, f"{root}/final")
@@ -75,6 +78,16 @@ def layer_steps(spark, sf_dir: str) -> dict:
         orig, perf, members = lakehouse.read_fre_archives(archives.archive_entries(spark, f"{root}/zips/zip"), f"{out}/bronze")
         lakehouse.write_fre_silver(spark, orig, perf, f"{out}/silver", lakehouse.member_quarters(members))
 
+    lake = lakehouse.Lake(spark, f"{root}/lake")
+    lake.update()
+    one = raw["fnm"].where(F.col("column001").cast("long") % 8 == 3).withColumn("archive", F.lit("tape3"))
+
+    def load_one_archive():
+        """One archive of eight is loaded again: silver, gold, marked, final and the profile of that part."""
+        lakehouse.write_fnm_silver(spark, one, f"{root}/lake/silver/fnm")
+        lake.update()
+        consume(lake.numeric_profile())
+
     quarters = raw["perf"].select("quarter").distinct()
 
     def written(df, name, *options):
@@ -88,6 +101,8 @@ def layer_steps(spark, sf_dir: str) -> dict:
         "layer_final": written(polish(marked), "final"),
         "layer_profile_numeric": lambda: consume(numeric_profile(final)),
         "layer_profile_categorical": lambda: consume(categorical_profile(final)),
+        "load_one_archive": load_one_archive,
+        "profile_of_states": lambda: consume(lake.numeric_profile()),
     }
 
 

@@ -236,6 +236,36 @@ def _within(columns: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{q}' AS quartile, true AS within" for c in columns for q in ("q1", "median", "q3"))
 
 
+# The one field that each of these columns is cast from.
+_CAST_FNM = {
+    _my: {"report_period": "002", "first_pay_date": "014", "maturity_date": "018", "zero_bal_date": "044", "ddlpi": "050"},
+    _num: {
+        **{"orig_int_rate": "007", "orig_upb": "009", "orig_ltv": "019", "orig_cltv": "020", "orig_dti": "022", "mi_percent": "033"},
+        **{"current_rate": "008", "current_upb": "011", "eltv": "085", "int_bearing_upb": "109", "zero_bal_upb": "045"},
+        **{"net_sales_proc": "058", "delinq_int": "084", "current_mod_cost": "074", "cumulative_mod_cost": "075"},
+    },
+    _int: {"orig_term": "012", "borrower_count": "021", "credit_score": "023", "unit_count": "028", "loan_age": "015", "months_to_mat": "017"},
+}
+_CAST_FRE = {
+    _ym: {"report_period": "01_1", "first_pay_date": "01", "maturity_date": "03", "zero_bal_date": "09_1", "ddlpi": "12_1"},
+    _num: {
+        **{"orig_int_rate": "12", "orig_upb": "10", "orig_ltv": "11", "orig_cltv": "08", "orig_dti": "09", "mi_percent": "05"},
+        **{"current_rate": "10_1", "current_upb": "02_1", "eltv": "25_1", "int_bearing_upb": "31_1", "non_int_upb": "11_1"},
+        **{"zero_bal_upb": "26_1", "total_expenses": "16_1", "net_sales_proc": "14_1", "actual_loss": "21_1", "delinq_int": "27_1"},
+        **{"current_mod_cost": "30_1", "cumulative_mod_cost": "22_1"},
+    },
+    _int: {"orig_term": "21", "borrower_count": "22", "credit_score": "00", "unit_count": "06", "loan_age": "04_1", "months_to_mat": "05_1"},
+}
+
+
+def _failures(agency: str, source: str, casts: dict) -> str:
+    return _union(
+        f"SELECT '{agency}' AS agency, '{c}' AS column_name, count(*) FILTER (trim(column{f}) <> '' AND {cast('column' + f)} IS NULL) AS failures FROM {source}"
+        for cast, columns in casts.items()
+        for c, f in columns.items()
+    )
+
+
 _SHIP_QUARTER = """concat(CAST(CAST(left(column01, 4) AS INTEGER) + 10 AS VARCHAR), 'Q',
  CAST(CAST(ceil(CAST(right(column01, 2) AS INTEGER) / 3) AS INTEGER) AS VARCHAR))"""
 
@@ -250,6 +280,9 @@ UNION ALL SELECT 'performance', quarter, {_fields("perf_tape", FRE_FIELDS)} FROM
     "src_zip_single_file": f"SELECT {_fields('fnm_tape', FNM_FIELDS)} FROM fnm_tape",
     "src_zip_split": f"""
 SELECT 'whole.zip' AS source, 'tapes.zip' AS entry, 'tape.csv' AS member, {_fields("fnm_tape", FNM_FIELDS)} FROM fnm_tape""",
+    "src_zip_source": f"""
+SELECT concat(left(quarter, 4), '.zip') AS source, quarter, {_fields("perf_tape", FRE_FIELDS)} FROM perf_tape WHERE quarter IN ('2005Q1', '2006Q2')""",
+    "stream_archives": "SELECT * FROM final WHERE agency = 'FNM'",
     "ingest_second_archive": f"""
 SELECT 'fannie' AS agency, if(CAST(column001 AS BIGINT) % 2 = 0, 'first.zip', 'second.zip') AS archive, {_fields("fnm_tape", FNM_FIELDS)} FROM fnm_tape""",
     "ingest_duplicate_vintage": """
@@ -258,6 +291,15 @@ UNION ALL SELECT 'superseded', (SELECT count(DISTINCT quarter) FROM orig_tape) +
     "dataset_footprint": f"""
 SELECT sum(octet_length(CAST(concat_ws('|', {", ".join(f"coalesce({c}, '')" for c in re.findall(r"column[0-9]+", _fields("perf_tape", FRE_FIELDS)))}) AS BLOB)) + 1)::BIGINT AS bytes
 FROM (SELECT {_fields("perf_tape", FRE_FIELDS)} FROM perf_tape)""",
+    "refresh_incremental": """
+SELECT 'FNM' AS agency, if(CAST(loan_id AS BIGINT) % 2 = 0, 'early.zip', 'late.zip') AS part, count(*) AS row_count, round(avg(final_cltv), 6) AS mean_cltv,
+ CAST(loan_id AS BIGINT) % 2 = 1 AS replaced
+FROM final WHERE agency = 'FNM' GROUP BY CAST(loan_id AS BIGINT) % 2
+UNION ALL
+SELECT 'FRE', concat(CAST(year(first_pay_date) + 10 AS VARCHAR), 'Q', CAST(quarter(first_pay_date) AS VARCHAR)), count(*), round(avg(final_cltv), 6), false
+FROM final WHERE agency = 'FRE' GROUP BY year(first_pay_date), quarter(first_pay_date)""",
+    "profile_from_states": _numeric_profile("final", _FINAL_NUMBERS),
+    "cast_failures": f"SELECT * FROM ({_failures('FNM', 'fnm_tape', _CAST_FNM)} UNION ALL {_failures('FRE', 'fre_silver', _CAST_FRE)}) WHERE failures > 0",
     "profile_report": """
 SELECT 'rows ' || agency AS figure, CAST(count(*) AS DOUBLE) AS value FROM final GROUP BY agency
 UNION ALL SELECT 'negative age pct', round(100.0 * count(*) FILTER (loan_age < 0) / count(*), 4) FROM final""",

@@ -19,7 +19,8 @@ from tapelake.operators.polish import polish
 from tapelake.operators.tape_join import join_performance, suffixed
 from tapelake.plans import lakehouse
 from tapelake.session import configure, shared_folder
-from tapelake.sources import archives, sinks, tapes
+from tapelake.sources import archives, sinks, tapes, tapezip
+from tapelake.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,6 +144,29 @@ def src_zip_split(spark, sf_dir):
     return rows.select("source", "entry", "member", *tapes.FNM_FIELDS)
 
 
+@query
+def src_zip_source(spark, sf_dir):
+    """The archives' data source, with a filter on kind and quarter that chooses what is opened."""
+    root = shared_folder(spark, "tapezip")
+    _perf_files(spark, sf_dir, f"{root}/text")
+    files.zip_parts(spark, f"{root}/text", f"{root}/zip", F.regexp_extract("member", "_(2[0-9]{3})Q", 1))
+    table = tapezip.read_zipped(spark, f"{root}/zip", tapes.FRE_WIDTH, vintages=True)
+    wanted = table.where("kind = 'performance' AND quarter IN ('2005Q1', '2006Q2')")
+    return wanted.select("source", "quarter", *tapes.FRE_FIELDS)
+
+
+@query
+def stream_archives(spark, sf_dir):
+    """Archives that arrive as a stream, batch by batch, into the lake."""
+    root = shared_folder(spark, "arriving")
+    tape = standins.fnm_tape(spark, sf_dir)
+    for k in range(3):
+        files.zip_parts(spark, _text(tape.where(F.col("column001") % 3 == k), f"{root}/text{k}"), f"{root}/zip", F.lit(f"part{k}"))
+    lakehouse.write_index(spark, standins.raw_index(spark, sf_dir), f"{root}/lake/silver/index")
+    arrivals.load_archives(arrivals.archive_arrivals(spark, f"{root}/zip", 2), "fnm", f"{root}/lake", f"{root}/checkpoint").awaitTermination()
+    return lakehouse.Lake(spark, f"{root}/lake").layer("gold/final")
+
+
 @query
 def ingest_second_archive(spark, sf_dir):
     """An archive is loaded after another, then the first once more: both are there, once."""
@@ -688,6 +712,47 @@ def full_refresh(spark, sf_dir):
     return exact_profile(built)
 
 
+def _incremental(spark, sf_dir):
+    """A lake that two loads came to: all but one archive, then that archive alone."""
+    root = shared_folder(spark, "incremental")
+    tape, late = standins.fnm_tape(spark, sf_dir), F.col("column001") % 2 == 1
+    for name, rows in (("early", tape.where(~late)), ("late", tape.where(late))):
+        files.zip_parts(spark, _text(rows, f"{root}/{name}/text"), f"{root}/{name}/zip", F.lit(name))
+    _zipped_fre(spark, sf_dir, f"{root}/fre")
+    standins.raw_index(spark, sf_dir).write.csv(f"{root}/index", header=True)
+    lakehouse.refresh_archives(spark, f"{root}/early/zip", f"{root}/fre/zip", f"{root}/index", f"{root}/lake")
+    lake = lakehouse.Lake(spark, f"{root}/lake")
+    lakehouse.load_fnm(spark, archives.archive_entries(spark, f"{root}/late/zip"), f"{root}/lake")
+    done = lake.update()
+    return lake, done
+
+
+@query
+def refresh_incremental(spark, sf_dir):
+    """The final table's parts after a second load, and whether that load replaced them."""
+    lake, done = _incremental(spark, sf_dir)
+    replaced = [p for _, p in done["gold/final"].replaced]
+    rows = lake._parts("gold/final").groupBy("agency", "part").agg(F.count("*").alias("row_count"), casts.round_half_away(F.avg("final_cltv"), 6).alias("mean_cltv"))
+    return rows.withColumn("replaced", F.col("part").isin(replaced))
+
+
+@query
+def profile_from_states(spark, sf_dir):
+    """The numeric profile merged from the states of the parts, of which a second load renewed one."""
+    rows = _incremental(spark, sf_dir)[0].numeric_profile(quartiles=False)
+    return rows.withColumn("mean_value", casts.round_half_away(F.col("mean_value"), 6))
+
+
+@query
+def cast_failures(spark, sf_dir):
+    """Texts that a cast could not read, counted while gold was written."""
+    root = shared_folder(spark, "observed")
+    lakehouse.refresh(spark, standins.fnm_tape(spark, sf_dir), standins.orig_tape(spark, sf_dir), standins.perf_tape(spark, sf_dir), standins.raw_index(spark, sf_dir), root)
+    lake = lakehouse.Lake(spark, root)
+    lake.update(rebuild=True)
+    return lake.cast_status()
+
+
 @query
 def profile_report(spark, sf_dir):
     """The short blocks of the profile: totals by agency and the loans of negative age."""

@@ -37,6 +37,37 @@ def _as_double(name: str) -> Column:
     return _col(name).cast("double")
 
 
+def _partial(columns: Sequence[str], quartiles: bool = True) -> list[Column]:
+    """What is counted of each column, and the number of rows."""
+    out = [F.count("*").alias("rows")]
+    for i, name in enumerate(columns):
+        value = _as_double(name)
+        out += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}"), F.sum(value).alias(f"sum{i}")]
+        if quartiles:
+            out.append(F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE)).alias(f"kll{i}"))
+    return out
+
+
+def _merged(i: int | str = "", quartiles: bool = True) -> list[Column]:
+    """The same, of what was counted in parts."""
+    out = [F.sum(f"n{i}").alias(f"n{i}"), F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}"), F.sum(f"sum{i}").alias(f"sum{i}")]
+    return out + [F.kll_merge_agg_double(f"kll{i}").alias(f"kll{i}")] if quartiles else out
+
+
+def _figures(column_name: Column, i: int | str = "", quartiles: bool = True) -> list[Column]:
+    """The profile's columns from what was counted."""
+    known = F.col(f"n{i}") > 0
+    sketched = [F.when(known, F.kll_sketch_get_quantile_double(f"kll{i}", F.lit(q))).alias(label) for label, q in QUARTILES.items()]
+    return [
+        column_name.alias("column_name"),
+        (F.col("rows") - F.coalesce(f"n{i}", F.lit(0))).alias("null_count"),
+        F.col(f"lo{i}").alias("min_value"),
+        *(sketched if quartiles else []),
+        F.col(f"hi{i}").alias("max_value"),
+        F.try_divide(f"sum{i}", f"n{i}").alias("mean_value"),
+    ]
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, quartiles: bool = True) -> DataFrame:
     """One row per numeric column: ``column_name, null_count, min_value, [q1, median, q3,] max_value, mean_value``.
 
@@ -45,46 +76,34 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, quartil
     NULL statistics.
     """
     columns = list(columns or numeric_columns(df))
-    partial, merged = [F.count("*").alias("rows")], [F.sum("rows").alias("rows")]
-    for i, name in enumerate(columns):
-        value = _as_double(name)
-        partial += [
-            F.count(value).alias(f"n{i}"),
-            F.min(value).alias(f"lo{i}"),
-            F.max(value).alias(f"hi{i}"),
-            F.sum(value).alias(f"sum{i}"),
-        ]
-        merged += [
-            F.sum(f"n{i}").alias(f"n{i}"),
-            F.min(f"lo{i}").alias(f"lo{i}"),
-            F.max(f"hi{i}").alias(f"hi{i}"),
-            F.sum(f"sum{i}").alias(f"sum{i}"),
-        ]
-        if quartiles:
-            partial.append(F.kll_sketch_agg_double(value, F.lit(SKETCH_SIZE)).alias(f"kll{i}"))
-            merged.append(F.kll_merge_agg_double(f"kll{i}").alias(f"kll{i}"))
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("task_group")
-    totals = df.groupBy(group).agg(*partial).agg(*merged)
-
-    def row(i: int, name: str) -> Column:
-        known = F.col(f"n{i}") > 0
-        sketched = [
-            F.when(known, F.kll_sketch_get_quantile_double(f"kll{i}", F.lit(q))).alias(label)
-            for label, q in QUARTILES.items()
-        ]
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            (F.col("rows") - F.coalesce(f"n{i}", F.lit(0))).alias("null_count"),
-            F.col(f"lo{i}").alias("min_value"),
-            *(sketched if quartiles else []),
-            F.col(f"hi{i}").alias("max_value"),
-            F.try_divide(f"sum{i}", f"n{i}").alias("mean_value"),
-        )
-
-    rows = F.array(*[row(i, name) for i, name in enumerate(columns)])
+    merged = [F.sum("rows").alias("rows"), *[c for i in range(len(columns)) for c in _merged(i, quartiles)]]
+    totals = df.groupBy(group).agg(*_partial(columns, quartiles)).agg(*merged)
+    rows = F.array(*[F.struct(*_figures(F.lit(name), i, quartiles)) for i, name in enumerate(columns)])
     return totals.where(F.col("rows").isNotNull()).select(F.explode(rows).alias("r")).select("r.*")
 
 
+def numeric_states(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """``<keys>, column_name, rows, n, lo, hi, sum, kll``: what the numeric profile of each part is made of, to be kept.
+
+    States of parts merge to the profile of all of them (:func:`merged_profile`), so a part is read once, when it changes.
+    """
+    columns = list(columns or [c for c in numeric_columns(df) if c not in keys])
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("task_group")
+    merged = [F.sum("rows").alias("rows"), *[c for i in range(len(columns)) for c in _merged(i)]]
+    counted = df.groupBy(*keys, group).agg(*_partial(columns)).groupBy(*keys).agg(*merged)
+    names = ("n", "lo", "hi", "sum", "kll")
+    states = [F.struct(F.lit(name).alias("column_name"), "rows", *[F.col(f"{x}{i}").alias(x) for x in names]) for i, name in enumerate(columns)]
+    return counted.select(*keys, F.explode(F.array(*states)).alias("s")).select(*keys, "s.*")
+
+
+def merged_profile(states: DataFrame, quartiles: bool = True) -> DataFrame:
+    """The rows of :func:`numeric_profile`, from states; sketches of a column are merged in groups, then once more."""
+    rows, group = F.sum("rows").alias("rows"), F.pmod(F.xxhash64(*states.columns[:1], F.spark_partition_id()), F.lit(16)).alias("merge_group")
+    merged = [rows, *_merged(quartiles=quartiles)]
+    return states.groupBy("column_name", group).agg(*merged).groupBy("column_name").agg(*merged).select(*_figures(F.col("column_name"), quartiles=quartiles))
+
+
 def quartiles_percentile_approx(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
     """``column_name, q1, median, q3`` by ``percentile_approx``: actual values of the column, rank error 1/accuracy."""
     columns = list(columns or numeric_columns(df))

@@ -25,28 +25,38 @@ def finish(name: str, is_date: bool, placeholders: tuple) -> Column:
     return casts.code_to_date(value) if is_date else clean.sentinel_to_null(value, placeholders)
 
 
+def _cast(source: str, read: Callable[[Column], Column]) -> Rule:
+    """A rule that reads one field as another type; ``rule.source`` is that field."""
+
+    def rule() -> Column:
+        return read(F.col(source))
+
+    rule.source = source
+    return rule
+
+
 def text(source: str) -> Rule:
     return lambda: F.col(source).cast("string")
 
 
 def number(source: str) -> Rule:
-    return lambda: casts.try_double(F.col(source))
+    return _cast(source, casts.try_double)
 
 
 def whole(source: str) -> Rule:
-    return lambda: casts.try_int(F.col(source))
+    return _cast(source, casts.try_int)
 
 
 def whole_plus_one(source: str) -> Rule:
-    return lambda: clean.one_more(F.col(source))
+    return _cast(source, clean.one_more)
 
 
 def yyyymm(source: str) -> Rule:
-    return lambda: casts.yyyymm_code(F.col(source))
+    return _cast(source, casts.yyyymm_code)
 
 
 def mmyyyy(source: str) -> Rule:
-    return lambda: casts.mmyyyy_code(F.col(source))
+    return _cast(source, casts.mmyyyy_code)
 
 
 def coded(source: str, meanings: dict, default=None) -> Rule:

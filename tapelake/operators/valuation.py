@@ -1,8 +1,9 @@
 """Mark-to-market loan-to-value from the price index.
 
-The index is joined four times in different roles: state and metro, origination month and current month. Every
-role is a narrow copy (two keys, one value) with its own column names, joined from the left, so a loan row is kept
-whether or not it finds an index. Broadcast, the loan table is never shuffled and a hot state cannot skew a task.
+The index has four roles: state and metro, origination month and current month. It is joined twice, from the left, once for
+each level of geography: a geography is one row with all its months, of which both roles take theirs, so a loan row is kept
+whether or not it finds an index and can never be multiplied. Broadcast, the loan table is never shuffled and a hot state
+cannot skew a task.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.functions.casts import month_of, round_half_away
-from tapelake.operators.lookup import MAX_BROADCAST_ROWS, small_side
+from tapelake.operators.lookup import MAX_BROADCAST_ROWS, is_small
 from tapelake.operators.price_index import METRO, STATE, level
 
 _KEY = {STATE: ("prop_state", "GEO_Name"), METRO: ("msa_code", "msa_code")}
@@ -27,20 +28,40 @@ def with_month_keys(loans: DataFrame) -> DataFrame:
     )
 
 
+def _month_number(date: Column) -> Column:
+    return F.year(date) * 12 + F.month(date)
+
+
+def month_arrays(index: DataFrame, geo_type: str) -> DataFrame:
+    """``geo, first_month, months``: one row per geography, the index (not seasonally adjusted) month by month without gaps.
+
+    A month without an index is NULL, and one that occurs twice has its larger value, so a loan meets one row at most.
+    """
+    key = _KEY[geo_type][1]
+    rows = level(index, geo_type).where(F.col(key).isNotNull() & F.col("hpi_date").isNotNull())
+    once = rows.groupBy(F.col(key).alias("geo"), _month_number(F.col("hpi_date")).alias("month")).agg(F.max("index_nsa").alias("value"))
+    known = once.groupBy("geo").agg(F.array_sort(F.collect_list(F.struct("month", "value"))).alias("known"))
+
+    def with_gap(x: Column, i: Column) -> Column:
+        missing = F.coalesce(F.get("known", i + 1)["month"], x["month"] + 1) - x["month"] - 1
+        return F.concat(F.array(x["value"]), F.array_repeat(F.lit(None).cast("double"), missing))
+
+    return known.select("geo", F.get("known", F.lit(0))["month"].alias("first_month"), F.flatten(F.transform("known", with_gap)).alias("months"))
+
+
 def with_index(loans: DataFrame, index: DataFrame, geo_type: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Add ``<level>_index_orig`` and ``<level>_index_now`` (not seasonally adjusted) by exact month."""
-    loan_key, index_key = _KEY[geo_type]
-    series = level(index, geo_type).select(index_key, "hpi_date", "index_nsa")
-    series = small_side(series.where(F.col(index_key).isNotNull() & F.col("hpi_date").isNotNull()), max_rows)
-    joined = loans
-    for role, month in _MONTH.items():
-        name = f"{_PREFIX[geo_type]}_index_{role}"
-        keyed = series.select(
-            F.col(index_key).alias("_geo"), F.col("hpi_date").alias("_month"), F.col("index_nsa").alias(name)
-        )
-        on = (joined[loan_key] == keyed["_geo"]) & (joined[month] == keyed["_month"])
-        joined = joined.join(keyed, on, "left").drop("_geo", "_month")
-    return joined
+    """Add ``<level>_index_orig`` and ``<level>_index_now`` (not seasonally adjusted) by exact month.
+
+    One join for both months: a geography's months are an array, addressed by the months since its first. It is broadcast
+    if the level's rows, a value each, are at most ``max_rows``.
+    """
+    loan_key = _KEY[geo_type][0]
+    series = month_arrays(index, geo_type).withColumnsRenamed({"geo": "_geo", "first_month": "_first", "months": "_months"})
+    if is_small(level(index, geo_type), max_rows):
+        series = F.broadcast(series)
+    joined = loans.join(series, loans[loan_key] == series["_geo"], "left")
+    found = {f"{_PREFIX[geo_type]}_index_{role}": F.get("_months", _month_number(F.col(month)) - F.col("_first")) for role, month in _MONTH.items()}
+    return joined.withColumns(found).drop("_geo", "_first", "_months")
 
 
 def index_ratio() -> Column:

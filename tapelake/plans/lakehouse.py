@@ -15,6 +15,7 @@ from tapelake.operators.price_index import duplicate_keys, standardise
 from tapelake.operators.profile import categorical_profile, numeric_profile, share_where
 from tapelake.operators.tape_join import join_performance
 from tapelake.operators.valuation import mark_to_market
+from tapelake.plans.incremental import Lake
 from tapelake.sources import archives, tapes
 from tapelake.sources.sinks import SNAPPY, ZSTD, write_layer
 
@@ -177,22 +178,37 @@ def write_final(spark: SparkSession, marked: DataFrame, path: str) -> DataFrame:
 def refresh(
     spark: SparkSession, fnm_tape: DataFrame, orig: DataFrame, perf: DataFrame, raw_index: DataFrame, root: str, perf_quarters: DataFrame | None = None
 ) -> DataFrame:
-    """Build every layer under ``root`` and return the final table."""
-    fnm = write_fnm_silver(spark, fnm_tape, f"{root}/silver/fnm")
-    fre = write_fre_silver(spark, orig, perf, f"{root}/silver/fre", perf_quarters)
-    index = write_index(spark, raw_index, f"{root}/silver/index")
-    gold = write_gold(spark, fnm, fre, f"{root}/gold/unified")
-    marked = write_marked(spark, gold, index, f"{root}/gold/marked")
-    return write_final(spark, marked, f"{root}/gold/final")
+    """Load tapes and index into silver under ``root``, bring all later layers up to date and return the final table."""
+    write_fnm_silver(spark, fnm_tape, f"{root}/silver/fnm")
+    write_fre_silver(spark, orig, perf, f"{root}/silver/fre", perf_quarters)
+    write_index(spark, raw_index, f"{root}/silver/index")
+    lake = Lake(spark, root)
+    lake.update()
+    return lake.layer("gold/final")
+
+
+def load_fnm(spark: SparkSession, entries: DataFrame, root: str) -> DataFrame:
+    """Single-file archives into bronze and silver; the status of each. Layers after silver are brought up to date by :class:`Lake`."""
+    fnm, found = read_fnm_archives(entries, f"{root}/bronze/fnm")
+    write_fnm_silver(spark, fnm, f"{root}/silver/fnm")
+    return fnm_status(found)
+
+
+def load_fre(spark: SparkSession, entries: DataFrame, root: str) -> DataFrame:
+    """Archives of paired files into bronze and silver; the status of each quarter, and of each member that was not loaded."""
+    orig, perf, found = read_fre_archives(entries, f"{root}/bronze/fre")
+    silver = write_fre_silver(spark, orig, perf, f"{root}/silver/fre", member_quarters(found))
+    return ingest_status(orig, silver, found)
 
 
 def refresh_archives(spark: SparkSession, fnm_archives: str, fre_archives: str, index_csv: str, root: str) -> tuple[DataFrame, DataFrame]:
     """From folders of archives and the index file to the final table, and the status of every archive and quarter."""
-    fnm, fnm_found = read_fnm_archives(archives.archive_entries(spark, fnm_archives), f"{root}/bronze/fnm")
-    orig, perf, fre_found = read_fre_archives(archives.archive_entries(spark, fre_archives), f"{root}/bronze/fre")
-    final = refresh(spark, fnm, orig, perf, tapes.read_index_csv(spark, index_csv), root, member_quarters(fre_found))
-    silver = tapes.read_layer(spark, f"{root}/silver/fre")
-    return final, ingest_status(orig, silver, fre_found).unionByName(fnm_status(fnm_found))
+    status = load_fre(spark, archives.archive_entries(spark, fre_archives), root)
+    status = status.unionByName(load_fnm(spark, archives.archive_entries(spark, fnm_archives), root))
+    write_index(spark, tapes.read_index_csv(spark, index_csv), f"{root}/silver/index")
+    lake = Lake(spark, root)
+    lake.update()
+    return lake.layer("gold/final"), status
 
 
 def profile(final: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

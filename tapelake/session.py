@@ -14,6 +14,12 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A quarter or an archive's name is text, whatever it looks like.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # The archives' data source chooses what it opens by the filters on quarter, agency, kind and archive.
+    "spark.sql.python.filterPushdown.enabled": "true",
+    # A task that writes few partitions keeps their files open and needs not sort wide rows by partition first.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 
@@ -45,9 +51,9 @@ def local_session(cores: str = "*", memory: str = "8g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, run-unique path in the folder the cluster shares (``spark.checkpoint.dir``).
+    """A new, run-unique path in the application's part of the folder the cluster shares (``spark.checkpoint.dir``).
 
-    Only where that is unset and the session runs on one machine, as in tests, a temporary folder is set and used.
+    What is written there lives as long as the application may need it; :func:`discard` removes it. Only where that is unset and the session runs on one machine, as in tests, a temporary folder is set and used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -55,4 +61,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tapelake-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession, base: str) -> str:
+    return f"{base.rstrip('/')}/tapelake-{spark.sparkContext.applicationId}"
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove the application's scratch data; tables that were made from it cannot be read any more, written ones can."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark, base))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 SNAPPY, ZSTD = "snappy", "zstd"
 
@@ -29,3 +29,9 @@ def write_layer(
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of data files, through the file system that Spark would use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -251,6 +251,26 @@ def test_shared_folder_is_the_configured_one(spark):
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_data_can_be_removed(spark):
+    import os
+
+    from tapelake.session import discard
+
+    class Other:
+        """The same session, as another application."""
+
+        conf, _jvm, _jsc = spark.conf, spark._jvm, spark._jsc
+
+        class sparkContext:  # noqa: N801
+            applicationId = "app-other"
+
+    kept, gone = shared_folder(spark, "kept"), shared_folder(Other, "gone")
+    for path in (kept, gone):
+        spark.range(1).write.parquet(path)
+    discard(Other)
+    assert spark.read.parquet(kept).count() == 1 and not os.path.exists(gone.removeprefix("file:"))
+
+
 def test_no_local_folder_on_a_cluster():
     class Session:
         class conf:  # noqa: N801

@@ -89,6 +89,43 @@ def test_exact_quantiles(spark, buckets):
             assert got[name, p] == (want if want is None else pytest.approx(want))
 
 
+@pytest.mark.parametrize("band", [0.0, 0.3])
+def test_exact_quantiles_when_the_sketch_is_off(spark, monkeypatch, band):
+    """A rank outside its interval is found over the whole column."""
+    import tapelake.operators.exact_quantiles as module
+
+    rng = random.Random(3)
+    values = [round(rng.gauss(0, 1), 2) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    original = module._sketched
+
+    def off(*args):
+        rows = [r.asDict() for r in original(*args)]
+        return [r | {"bounds": [[9.0, 9.5] if i == 1 else b for i, b in enumerate(r["bounds"])]} for r in rows]
+
+    for sketched in (original, off):
+        monkeypatch.setattr(module, "_sketched", sketched)
+        got = [r.value for r in exact_quantiles(df, ["v"], [0.1, 0.5, 0.75], 16, band).collect()]
+        assert got == [pytest.approx(float(np.quantile(values, p))) for p in (0.1, 0.5, 0.75)]
+
+
+def test_exact_quantiles_scan_the_table_twice(spark, monkeypatch, tmp_path):
+    import tapelake.operators.exact_quantiles as module
+
+    rng = random.Random(5)
+    spark.createDataFrame([(rng.random(), rng.random()) for _ in range(20_000)], "a double, b double").repartition(4).write.parquet(str(tmp_path / "t"))
+    scanned, left = [], []
+    for name, seen in (("_sketched", scanned), ("_enclosed", scanned)):
+        original = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, original=original, seen=seen: (seen.append(1), original(*a))[1])
+    narrowed = module._narrowed
+    monkeypatch.setattr(module, "_narrowed", lambda values, ranks, buckets: (left.append((values.inputFiles(), len(ranks), values.count())), narrowed(values, ranks, buckets))[1])
+    exact_quantiles(spark.read.parquet(str(tmp_path / "t")), ["a", "b"], [0.25, 0.5, 0.75])
+    (files, ranks, rows), (_, far, _) = left
+    assert len(scanned) == 2 and ranks >= 6 and far == 0
+    assert rows < 0.15 * 2 * 20_000 and not any("/t/" in f for f in files)
+
+
 def test_odd_names_and_values(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", float("nan")), (None, 3.0), ("y", float("inf"))], "`a.b` string, `c``d` double")
     top = {(r.val, r.freq, r.pct) for r in profile.categorical_profile(df).collect()}

@@ -9,7 +9,7 @@ from tapelake.operators.canonical import canonical, unify
 from tapelake.operators.contract import CANONICAL_SCHEMA, COLUMNS, FNM, FRE, check_contract
 from tapelake.operators.polish import polish
 from tapelake.operators.tape_join import join_performance
-from tapelake.operators.valuation import mark_to_market
+from tapelake.operators.valuation import mark_to_market, month_arrays, with_index
 from tapelake.sources.tapes import FNM_FIELDS, FRE_FIELDS, orphan_quarters, paired
 
 
@@ -156,6 +156,22 @@ def test_mark_to_market(spark, max_rows):
     assert marked.columns[-4:] == ["j_orig_dt", "j_now_dt", "mtm_cltv", "final_cltv"] and len(marked.columns) == 57
 
 
+def test_months_are_addressed_by_their_place(spark):
+    months = [date(2020, 11, 1), date(2020, 12, 1), date(2021, 3, 1), date(2021, 3, 1)]
+    rows = [("State", "TX", None, m, v, 0.0) for m, v in zip(months, (1.0, None, 4.0, 3.0), strict=True)]
+    rows += [("State", None, None, months[0], 9.0, 0.0), ("State", "ZZ", None, None, 9.0, 0.0), ("CBSA", "Waco", "47380", months[0], 7.0, 0.0)]
+    table = spark.createDataFrame(rows, "GEO_Type string, GEO_Name string, msa_code string, hpi_date date, index_nsa double, index_sa double")
+    got = {r.geo: (r.first_month, r.months) for r in month_arrays(table, "State").collect()}
+    assert got == {"TX": (2020 * 12 + 11, [1.0, None, None, None, 4.0])}
+    keyed = spark.createDataFrame(
+        [(i, s, a, b) for i, (s, a, b) in enumerate([("TX", months[0], months[2]), ("TX", date(2020, 10, 1), date(2021, 4, 1)), ("TX", None, date(2021, 1, 1)), ("ZZ", months[0], months[0]), (None, months[0], None)])],
+        "i int, prop_state string, j_orig_dt date, j_now_dt date",
+    )
+    for max_rows in (1_000_000, 1):
+        found = {r.i: (r.state_index_orig, r.state_index_now) for r in with_index(keyed, table, "State", max_rows).collect()}
+        assert found == {0: (1.0, 4.0), 1: (None, None), 2: (None, None), 3: (None, None), 4: (None, None)}
+
+
 def test_polish(spark):
     rows = [
         {"agency": "FRE", "seller_name": "Bank a", "msa_code": "00000", "zip_3": "48200"},
