@@ -5,7 +5,8 @@ Four kinds are found by pattern and are always kept: email, ip, card, phone. Eve
 they are: long tokens of letters and digits that a word such as ``token`` or ``key`` is set to. Seeds and candidates are
 instances; the word to the left with the signs between (past blanks and quotes), the word to the right and the shape of an
 occurrence are its lexical patterns. Patterns and instances form a graph that is scored round by round: a pattern by the mean
-of its instances, damped where there are few, an instance by the mean of its patterns; seeds stay at one. Candidates that end
+of its instances, damped where there are few, an instance by the mean of its patterns or, if that is more, by a word that
+values are set by; seeds stay at one. Candidates that end
 above the threshold, by way of a pattern that is itself trusted and was seen with several instances, are identifiers that the
 patterns discovered, and so are all their occurrences: a value that is found out beside ``token =`` is found alone as well.
 
@@ -38,8 +39,9 @@ CANDIDATE = (
     r"|(?<![A-Za-z0-9])(?=[A-Za-z0-9])(?=[A-Za-z._@%+/-]*+[0-9])[A-Za-z0-9][A-Za-z0-9._@%+/-]{6,}[A-Za-z0-9](?![A-Za-z0-9])"
 )
 MIN_DIGITS = 4
-# What a token that says what it is looks like, and the word and sign that it is set by.
+# What a token that says what it is looks like, patterns of words that set values, and those that set secrets.
 SECRET = r"^(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{20,}$"  # it has MIN_DIGITS digits, being a candidate
+SETS = r"^L .*[:=#]$"
 SECRET_LEFT = r"(?:token|secret|key|passwd|password|pwd|credential|auth|bearer)s?[:=]+$"
 ROUNDS = 4
 DAMPING = 1.0
@@ -174,8 +176,11 @@ def scored(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         weighed = graph.join(instances, "instance")
         patterns = weighed.groupBy("pattern").agg(F.sum("score").alias("total"), F.count("*").alias("n")).withColumn("trust", F.col("total") / (F.col("n") + DAMPING))
         support = F.max((F.col("trust") >= TRUSTED) & (F.col("n") >= SUPPORT)).alias("supported")
-        instances = graph.join(patterns, "pattern").groupBy("instance").agg(F.max("seed").alias("seed"), F.avg("trust").alias("mean"), support)
-        instances = instances.select("instance", F.when(F.col("seed") == 1, 1.0).otherwise(F.col("mean")).alias("score"), "seed", "supported")
+        # Words of prose stand before seeds by chance, so they count together; a word that sets values counts by itself.
+        alone = F.max(F.when(F.col("pattern").rlike(SETS) & (F.col("n") >= SUPPORT), F.col("trust")))
+        score = F.greatest(F.avg("trust"), F.coalesce(alone, F.lit(0.0))).alias("found")
+        instances = graph.join(patterns, "pattern").groupBy("instance").agg(F.max("seed").alias("seed"), score, support)
+        instances = instances.select("instance", F.when(F.col("seed") == 1, 1.0).otherwise(F.col("found")).alias("score"), "seed", "supported")
         instances = written(instances, "instance-scores")
     return instances.filter((F.col("seed") == 1) | (F.col("score") >= THRESHOLD) & F.col("supported")).select("instance")
 
