@@ -1,4 +1,9 @@
-"""The corpus pipeline: documents in, packed training sequences out, stage by stage."""
+"""The corpus pipeline: documents in, packed training sequences out, stage by stage.
+
+Defined results: documents without words (null, empty, symbols only) are rejected by the first stage, as are those that its
+rules drop; repeated rows and near copies leave one document, that with the smallest id, a null id last; very long texts pass
+whole; other columns, of any name, are kept up to packing, which returns its own. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
