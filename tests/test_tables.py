@@ -183,3 +183,34 @@ def test_polish(spark):
     assert final.columns[-4:] == ["seller_name", "servicer_name", "msa_code", "zip_3"]
     got = {(r.seller_name, r.servicer_name, r.msa_code, r.zip_3) for r in final.collect()}
     assert got == {("BANK A", None, None, "482"), (None, "B", "12420", "000")}
+
+
+def test_originations_are_shuffled_once_and_null_keys_match_nothing(spark):
+    orig = spark.createDataFrame([("q", "a", "1"), ("q", "b", "2"), (None, "a", "3"), ("q", None, "4")], "quarter string, column19 string, column00 string")
+    perf = spark.createDataFrame([("q", "a", "x"), ("q", "a", "y"), (None, "a", "z"), ("q", None, "w")], "quarter string, column00 string, column01 string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_performance(orig, perf)
+        rows = sorted((r.column00, r.quarter, r.column19, r.column00_1, r.column01_1) for r in joined.collect())
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows[:2] == [("1", "q", "a", "a", "x"), ("1", "q", "a", "a", "y")]
+    assert rows[2:] == [("2", "q", "b", None, None), ("3", None, "a", None, None), ("4", "q", None, None, None)]
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]
+
+
+def test_a_small_side_is_hashed_and_the_wide_one_not_sorted(spark):
+    orig = spark.range(2000).selectExpr("'q' quarter", "cast(id as string) column19")
+    perf = spark.range(9000).selectExpr("'q' quarter", "cast(id % 1500 as string) column00", "'x' column01")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_performance(orig, perf)
+        assert joined.count() == 9500
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan.split("Initial Plan")[0]
