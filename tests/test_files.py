@@ -1,10 +1,13 @@
 import io
+import time
 import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import files
 from tapelake.plans import lakehouse
 from tapelake.session import shared_folder
 from tapelake.sources import archives, sinks, tapes
@@ -211,6 +214,40 @@ def test_one_large_member_is_parsed_by_many_tasks(spark, folder):
     assert [(r["rows"], r["error"]) for r in archives.outcomes(bronze).collect()] == [(2000, None)]
 
 
+def test_a_load_leaves_no_lines_and_no_inflated_zips(spark, folder):
+    big_nested(folder, lines=200, files=2)
+    scratch = Path(shared_folder(spark, "x")).parent
+    before = {*scratch.glob("lines-*"), *scratch.glob("nested-*")}
+    bronze = archives.write_bronze(archives.archive_entries(spark, str(folder / "n.zip")), str(folder / "bronze"), 40, "txt$")
+    assert not {*scratch.glob("lines-*"), *scratch.glob("nested-*")} - before
+    assert archives.rows_of(bronze, archives.outcomes(bronze)).count() == 400
+
+
+def test_text_that_is_used_up_goes_once_it_is_zipped(spark, folder):
+    tape = spark.createDataFrame([("a", "1"), ("b", "2")], "column0 string, column1 string")
+    for used_up in (False, True):
+        text, out = folder / f"text{used_up}", folder / f"zip{used_up}"
+        files.write_text(tape, tape.columns, f"{text}/file=tape.csv", packed=True)
+        files.zip_parts(spark, str(text), str(out), F.lit("whole"), used_up=used_up)
+        assert text.exists() != used_up
+        bronze = archives.write_bronze(archives.archive_entries(spark, str(out)), f"{out}-bronze", 2, "csv$")
+        rows = archives.rows_of(bronze, archives.outcomes(bronze)).select(*tape.columns).collect()
+        assert sorted(map(tuple, rows)) == [("a", "1"), ("b", "2")]
+
+
+def test_shuffle_files_go_with_their_query(spark, folder):
+    def there():
+        stored = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")
+        return {f.rsplit("/", 1)[1] for f in stored.split(",") if "/shuffle_" in f}
+
+    before = there()
+    spark.range(1000).repartition(3, "id").write.parquet(str(folder / "dealt"))
+    until = time.time() + 20
+    while (left := there() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.read.parquet(str(folder / "dealt")).count() == 1000
+
+
 def test_bronze_keeps_the_history_of_other_archives(spark, folder):
     def load(name, text):
         with zipfile.ZipFile(folder / name, "w") as z:
