@@ -85,6 +85,22 @@ def resting(function: Callable) -> Callable:
     return run
 
 
+def without_collections(function: Callable) -> Callable:
+    """A function over batches that makes no cycles and holds many small objects, which no collection passes over meanwhile."""
+
+    @functools.wraps(function)
+    def run(batches):
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            yield from function(batches)
+        finally:
+            if collects:
+                gc.enable()
+
+    return run
+
+
 def map_batches(df: DataFrame, function: Callable, schema: str, text: str = "text", most_bytes: int = 2_000_000) -> DataFrame:
     """``function`` gets each slice of the table as a batch and returns a dict of column lists or arrays."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tapelake.llm.common import pieces, resting, utf8
+from tapelake.llm.common import pieces, resting, utf8, without_collections
 
 TIERS = (256, 512, 1024, 2048)
 POOL_TOKENS = 2_000_000
@@ -45,14 +45,10 @@ class Recent:
 
     def missing(self, keys: set) -> set:
         """The keys that neither generation has; those of the old one are in the new one afterwards."""
-        out = set()
-        for key in keys:
-            if key not in self.now:
-                if (value := self.before.get(key)) is None:
-                    out.add(key)
-                else:
-                    self.now[key] = value
-        return out
+        out = keys.difference(self.now)
+        old = out.intersection(self.before)
+        self.now.update(zip(old, map(self.before.__getitem__, old), strict=True))
+        return out - old
 
     def turn(self) -> None:
         if len(self.now) > self.most:
@@ -117,14 +113,10 @@ class WordIds:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         split = [(t or b"").split() for t in texts]
-        ids = [[*map(self.known.now.get, words)] for words in split]
-        holes = [[i for i, x in enumerate(row) if x is None] if None in row else () for row in ids]
-        self._learn(self.known.missing({words[i] for words, at in zip(split, holes, strict=True) for i in at}))
-        for words, row, at in zip(split, ids, holes, strict=True):
-            for i in at:
-                row[i] = self.known.now[words[i]]
+        self._learn(self.known.missing(set().union(*split)))
+        ids = [b"".join(map(self.known.now.__getitem__, words)) for words in split]
         self.known.turn()
-        return [b"".join(row) for row in ids]
+        return ids
 
 
 _ENCODERS: dict[tuple[str, int], WordIds] = {}
@@ -290,4 +282,4 @@ def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_T
         if not keep_words:
             encode.rest()
 
-    return docs.select("doc_id", "text").mapInArrow(resting(run), SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(resting(without_collections(run)), SCHEMA)
