@@ -41,3 +41,17 @@ def test_a_member_of_120_000_lines_is_parsed_by_several_tasks(spark, tmp_path):
     bronze = archives.write_bronze(archives.archive_entries(spark, f"{tmp_path}/t.zip"), f"{tmp_path}/bronze", 2, "csv$")
     files = bronze.where("rows is null").groupBy(F.input_file_name()).count().collect()
     assert sum(r["count"] for r in files) == 120_000 and len(files) >= 3
+
+
+def test_width_is_told_without_splitting_lines(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a|b\n\n|||é\nx\n")
+    assert tapes.tape_width(spark, str(tmp_path / "t.csv")) == 4
+    asked = []
+    split = tapes.F.split
+    tapes.F.split = lambda *a: asked.append(a) or split(*a)
+    try:
+        assert tapes.tape_width(spark, str(tmp_path / "t.csv")) == 4 and not asked
+        (tmp_path / "u.csv").write_text("a::b::c:d\n")
+        assert tapes.tape_width(spark, str(tmp_path / "u.csv"), "::") == 3
+    finally:
+        tapes.F.split = split
