@@ -35,6 +35,9 @@ POOL_TOKENS = 2_000_000
 STEP_TOKENS = 32_768
 END_ID = 1
 CACHED_WORDS = 750_000
+#: Runs of letters that are encoded as one text.
+RUNS = 20_000
+_TO_SPACE = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 
 
 class Recent:
@@ -55,23 +58,32 @@ class Recent:
             self.now, self.before = {}, self.now
 
 
+def _latin(word: str) -> bool:
+    """Whether a word has only characters below U+0250 and no capital I with a dot: each is composed, and lower case is one character."""
+    return word.isascii() or (max(word) < "\u0250" and "\u0130" not in word)
+
+
 class WordIds:
     """Token ids of a text as bytes of little-endian unsigned 32-bit integers, by way of the words between spaces.
 
     For tokenizers that split a text into letter runs, digits and symbol runs, drop white space, take no notice of case and
     mark the last piece of each run: a text's ids are then its words' ids, one after the other. Each distinct word is looked
     up once; words that differ in case or in a full stop or comma at the end share the encoding of their stem; and stems
-    of letters only are encoded many at a time and told apart by the end mark.
+    of letters only are encoded many at a time and told apart by the end mark, Latin ones without being made normal again.
     """
 
     END_MARK = "</w>"
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core of its own and no more
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # Lower-case Latin letters are normal already, and runs of them end at spaces.
+        at_spaces, as_bytes = pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain, self.latin = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer, self.latin.pre_tokenizer = at_spaces, pre_tokenizers.Sequence([at_spaces, as_bytes])
         self.known, self.stems = Recent(cached), Recent(cached)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_run = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -81,9 +93,9 @@ class WordIds:
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _runs(self, stems: list[str]) -> list[bytes]:
+    def _runs(self, stems: list[str], tokenizer) -> list[bytes]:
         """Of stems that are one run of letters each."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(stems)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends_run[ids]) + 1
         if len(ends) != len(stems):  # a letter whose lower case is not one run
             return self._each(stems)
@@ -91,17 +103,20 @@ class WordIds:
         return [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def _learn(self, words: set[bytes]) -> None:
-        stems, names, order, tails = self.stems, [], list(words), []
-        for word in order:
-            text = word.decode()
-            stem = text[:-1] if text[-1] in ".," and text[:-1].isalpha() else text
-            names.append(stem.lower() if text.isascii() else stem)
-            tails.append(self.tails[text[-1]] if len(stem) < len(text) else b"")
+        if not words:
+            return
+        stems, order = self.stems, list(words)
+        texts = b" ".join(order).decode().split(" ")
+        cut = [text[:-1] if text[-1] in ".," and text[:-1].isalpha() else text for text in texts]
+        tails = [b"" if stem is text else self.tails[text[-1]] for stem, text in zip(cut, texts, strict=True)]
+        names = [stem.lower() if _latin(stem) else stem for stem in cut]
         missing = stems.missing(set(names))
-        runs = [stem for stem in missing if stem.isalpha()]
-        for i in range(0, len(runs), 2000):
-            stems.now.update(zip(runs[i : i + 2000], self._runs(runs[i : i + 2000]), strict=True))
-        others = [stem for stem in missing if not stem.isalpha()]
+        plain, latin, letters, others = [], [], [], []
+        for stem in missing:
+            (others if not stem.isalpha() else plain if stem.isascii() else latin if _latin(stem) else letters).append(stem)
+        for runs, tokenizer in ((plain, self.plain), (latin, self.latin), (letters, self.tokenizer)):
+            for i in range(0, len(runs), RUNS):
+                stems.now.update(zip(runs[i : i + RUNS], self._runs(runs[i : i + RUNS], tokenizer), strict=True))
         stems.now.update(zip(others, self._each(others), strict=True))
         self.known.now.update(zip(order, map(operator.add, map(stems.now.__getitem__, names), tails), strict=True))
         stems.turn()
@@ -112,11 +127,25 @@ class WordIds:
         pa.default_memory_pool().release_unused()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]
-        self._learn(self.known.missing(set().union(*split)))
-        ids = [b"".join(map(self.known.now.__getitem__, words)) for words in split]
+        """The words of all texts at once: each distinct one is looked up once, its ids are copied to all its places."""
+        data = b" ".join([*[t or b"" for t in texts], b""]).translate(_TO_SPACE)
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == ord(" ")) + 1
+        bounds = np.concatenate([[0], ends]).astype(np.int64)
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        _, bounds, values = words.dictionary.buffers()
+        distinct = values.to_pybytes()[: int(np.frombuffer(bounds, np.int64, len(words.dictionary) + 1)[-1])].split(b" ")[:-1]
+        self._learn(self.known.missing({*distinct} - {b""}))
+        self.known.now[b""] = b""
+        found = [self.known.now[word] for word in distinct]
         self.known.turn()
-        return ids
+        flat, sizes, place = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4, words.indices.to_numpy()
+        n = sizes[place]
+        stops = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[place] - stops[:-1], n) + np.arange(stops[-1])].tobytes()
+        # A text's last word is the one that ends where the text does.
+        text_ends = np.cumsum([len(t or b"") + 1 for t in texts], dtype=np.int64)
+        cuts = [0, *(4 * stops[np.searchsorted(ends, text_ends, "right")]).tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 _ENCODERS: dict[tuple[str, int], WordIds] = {}
@@ -266,17 +295,19 @@ def pack(docs: DataFrame, tokenizer: str, tiers=TIERS, pool_tokens: int = POOL_T
         windows: list = []
         fresh_tokens = 0
         for batch in batches:
-            for part in pieces(batch, "text", 1_000_000):
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode.encode(utf8(part, "text")), strict=True):
-                    ids += end
-                    held[count["document"]] = [doc_id, ids, len(ids) // 4]
-                    windows.extend(packer.add(count["document"], len(ids) // 4))
-                    count["document"] += 1
-                    fresh_tokens += len(ids) // 4
-                if fresh_tokens >= pool_tokens:
-                    windows.extend(packer.pack())
-                    yield from rows(windows)
-                    windows, fresh_tokens = [], 0
+            for part in pieces(batch, "text", 4_000_000):
+                encoded = iter(encode.encode(utf8(part, "text")))
+                for few in pieces(part, "text", 1_000_000):
+                    for doc_id, ids in zip(few.column("doc_id").to_pylist(), encoded):  # noqa: B905 - the ids go on in the next few
+                        ids += end
+                        held[count["document"]] = [doc_id, ids, len(ids) // 4]
+                        windows.extend(packer.add(count["document"], len(ids) // 4))
+                        count["document"] += 1
+                        fresh_tokens += len(ids) // 4
+                    if fresh_tokens >= pool_tokens:
+                        windows.extend(packer.pack())
+                        yield from rows(windows)
+                        windows, fresh_tokens = [], 0
         windows.extend(packer.pack(last=True))
         yield from rows(windows)
         if not keep_words:
